@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import secrets, url_filter
+from . import jaccard_join, packing, quality, secrets, url_filter
 
-QUERIES = {f.__name__: f for f in (url_filter.op1_url_filter, secrets.op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (url_filter.op1_url_filter, jaccard_join.op2_ngram_jaccard_join, quality.op3_quality_classifier, packing.op4_packing, secrets.op10_secret_scan)}
 SQL = {"op1_url_filter": url_filter.OP1_SQL}
