@@ -122,7 +122,7 @@ def score(texts: list[str], model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
-def score_all(texts: list[str], model: Model, size: int = 1 << 18) -> np.ndarray:
+def score_all(texts: list[str], model: Model, size: int = 1 << 16) -> np.ndarray:
     """score, in runs of about size characters."""
     out, at, n = [np.zeros(0)], 0, 0
     for i, t in enumerate(texts, 1):

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, packing, quality, secrets, url_filter
+from . import byte_bpe, chat, imatch, jaccard_join, knn_join, packing, quality, secrets, url_filter
 
-QUERIES = {f.__name__: f for f in (url_filter.op1_url_filter, jaccard_join.op2_ngram_jaccard_join, quality.op3_quality_classifier, packing.op4_packing, secrets.op10_secret_scan)}
-SQL = {"op1_url_filter": url_filter.OP1_SQL}
+_ALL = (
+    url_filter.op1_url_filter,
+    jaccard_join.op2_ngram_jaccard_join,
+    quality.op3_quality_classifier,
+    packing.op4_packing,
+    imatch.op5_imatch,
+    byte_bpe.op6_byte_bpe,
+    knn_join.op8_voronoi_knn,
+    chat.op9_perspective_rotation,
+    secrets.op10_secret_scan,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+SQL = {"op1_url_filter": url_filter.OP1_SQL, "op8_voronoi_knn": knn_join.OP8_SQL, "op9_perspective_rotation": chat.OP9_SQL}
