@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat, imatch, jaccard_join, knn_join, packing, quality, secrets, url_filter
+from . import byte_bpe, chat, html_text, imatch, jaccard_join, knn_join, packing, quality, secrets, url_filter
 
 _ALL = (
     url_filter.op1_url_filter,
@@ -11,6 +11,7 @@ _ALL = (
     packing.op4_packing,
     imatch.op5_imatch,
     byte_bpe.op6_byte_bpe,
+    html_text.op7_html_extraction,
     knn_join.op8_voronoi_knn,
     chat.op9_perspective_rotation,
     secrets.op10_secret_scan,
