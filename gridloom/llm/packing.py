@@ -40,7 +40,7 @@ class Encoder:
     """Ids of texts as packed little-endian 32-bit numbers."""
 
     #: Pieces that are kept; beyond this the cache starts anew.
-    MOST = 600_000
+    MOST = 1_200_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,25 +61,32 @@ class Encoder:
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, rows: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts."""
-        pieces = [r.split() for r in rows]
+        """Ids of UTF-8 texts. The vocabulary has no capitals, so A-Z are lowered before pieces are looked up."""
+        pieces = [r.lower().split() for r in rows]
         cache = self.cache
         if len(cache) > self.MOST:
             cache.clear()
-        lacking = [x for x in set(chain.from_iterable(pieces)) if x not in cache]
+        own = dict.fromkeys(chain.from_iterable(pieces))  # small and near, against the cache
+        lacking = []
+        for x in own:
+            found = cache.get(x)
+            if found is None:
+                lacking.append(x)
+            else:
+                own[x] = found
         plain = [x for x in lacking if len(x) < 64 and b"\x01" not in x]
-        for i in range(0, len(plain), 20_000):
-            some = plain[i : i + 20_000]
-            runs = [some[j : j + 500] for j in range(0, len(some), 500)]
-            for run, ids in zip(runs, self._ids([f" {MARK} ".join(x.decode() for x in run) for run in runs]), strict=True):
-                parts = np.split(ids, np.flatnonzero(ids == self.mark[0]))
-                for x, part in zip(run, parts, strict=True):
-                    cache[x] = (part[1:] if len(part) and part[0] == self.mark[0] else part).tobytes()
+        runs = [plain[j : j + 500] for j in range(0, len(plain), 500)]
+        for run, ids in zip(runs, self._ids([f" {MARK} ".join([x.decode() for x in run]) for run in runs]), strict=True):
+            raw, at = ids.tobytes(), 0
+            ends = (4 * np.flatnonzero(ids == self.mark[0])).tolist()
+            for x, end in zip(run, [*ends, len(raw)], strict=True):
+                own[x] = cache[x] = raw[at:end]
+                at = end + 4
         odd = [x for x in lacking if not (len(x) < 64 and b"\x01" not in x)]
-        own = {x: i.tobytes() for x, i in zip(odd, self._ids([x.decode() for x in odd]), strict=True)} if odd else None
-        if own is None:
-            return [b"".join([cache[x] for x in p]) for p in pieces]
-        return [b"".join([own[x] if x in own else cache[x] for x in p]) for p in pieces]
+        if odd:
+            own.update(zip(odd, [i.tobytes() for i in self._ids([x.decode() for x in odd])], strict=True))
+        get = own.__getitem__
+        return [b"".join(map(get, p)) for p in pieces]
 
 
 class Packer:
