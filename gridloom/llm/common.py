@@ -49,7 +49,7 @@ def text_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(batch.column(name).cast(pa.string()), "")
 
 
-def slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, size: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of runs of whole rows of about ``size`` bytes.
 
     A longer row comes alone, whole.
