@@ -11,6 +11,7 @@ from .. import config as C
 from ..functions import geometry as GEO
 from ..functions import text as T
 from ..operators import classify as K
+from ..operators import folds as D
 from ..operators import forms as FO
 from ..operators import grid as G
 from ..operators import joins as J
@@ -564,6 +565,84 @@ def reading_order(spark, sf_dir):
     return b.select("page", "table_id", GEO.area(F.col("bbox")).alias("area"), F.row_number().over(order).alias("place"))
 
 
+# ---- rewrites that fold over a table's rows; tested on literal grids ----
+def _grid(spark, sf_dir):
+    return A.cells(spark, sf_dir).select("table_key", "row", "col", "text", "rowspan", "colspan", "covered")
+
+
+@query()
+def wrapped_rows(spark, sf_dir):
+    return D.rewrite(_grid(spark, sf_dir), KEY, D.merge_wrapped_rows)
+
+
+@query()
+def leading_texts(spark, sf_dir):
+    return D.rewrite(_grid(spark, sf_dir), KEY, D.merge_leading_texts)
+
+
+@query()
+def restored_spans(spark, sf_dir):
+    return D.rewrite(_grid(spark, sf_dir), KEY, D.restore_colspans, D.restore_label_rowspans, D.restore_rowspans, D.trim_rowspans)
+
+
+@query()
+def balance_shift(spark, sf_dir):
+    return D.rewrite(_grid(spark, sf_dir), KEY, D.shift_balance_sections)
+
+
+@query()
+def compact_grid(spark, sf_dir):
+    return G.compact(A.cells(spark, sf_dir), KEY).select("table_key", "row", "col", "text", "rowspan", "colspan")
+
+
+@query()
+def type_heuristics(spark, sf_dir):
+    """Every table by the rules of its type."""
+    cells = A.cells(spark, sf_dir).select("table_key", "row", "col", "text", "rowspan", "colspan", "covered", "doc_type")
+    return FO.default_heuristics().apply(cells, KEY)
+
+
+@query(f"""WITH {A.CELLS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{1,3}}\\.?') AND col = 0) AND bool_or({SEE} AND col > 0 AND {LETTER} AND length(trim(text)) >= 4) AND bool_or({SEE} AND col > 1 AND {numeric('text')}) AS item FROM cells WHERE {SEE} GROUP BY table_key, row)
+SELECT table_key, CAST(sum(CASE WHEN item THEN 1 ELSE 0 END) AS BIGINT) AS items, FALSE AS by_index, sum(CASE WHEN item THEN 1 ELSE 0 END) >= 3 AS line_items FROM r GROUP BY table_key""")
+def line_item_tables(spark, sf_dir):
+    return G.line_item_table(A.cells(spark, sf_dir), KEY)
+
+
+@query(f"WITH {A.CELLS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND {LETTER}) AS l, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{2,10}}')) AS c, count(*) AS w FROM cells WHERE col < 2 GROUP BY table_key, row) SELECT table_key, count(*) >= 3 AND max(w) <= 4 AND count(*) FILTER (l AND c) >= 3 AS code_stack FROM r GROUP BY table_key")
+def code_stacks(spark, sf_dir):
+    return G.code_stack(A.cells(spark, sf_dir).where("col < 2"), KEY)
+
+
+@query(f"""WITH {A.CELLS_SQL}, c AS (SELECT table_key, row, col, trim(text) AS t, {SEE} AS see FROM cells), h AS (SELECT table_key, col, count(*) AS n FROM cells WHERE NOT covered AND regexp_full_match(text, '\\d{{4}}') GROUP BY table_key, col),
+k AS (SELECT table_key, col AS cc FROM (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY n DESC, col) AS i FROM h) WHERE i = 1 AND n >= 3)
+SELECT table_key, row, coalesce(string_agg(CASE WHEN col <> cc THEN t END, ' ' ORDER BY col), '') AS label, max(CASE WHEN col = cc THEN t END) AS code FROM c JOIN k USING (table_key) WHERE see AND t <> '-' GROUP BY table_key, row""")
+def peeled_codes(spark, sf_dir):
+    cells = A.cells(spark, sf_dir)
+    return G.peel_codes(cells.where("text <> '-'"), G.code_column(cells, KEY), KEY)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN c_name WHEN c_custkey % 4 = 2 THEN c_name || ' — x — y' WHEN c_custkey % 4 = 1 THEN c_name || ': ' || CAST(c_custkey AS VARCHAR) ELSE c_name || '. — ' || CAST(c_custkey AS VARCHAR) END AS line FROM customer")
+def prose_lines(spark, sf_dir):
+    c, n = spark.read.parquet(f"{sf_dir}/customer.parquet"), F.col("c_custkey")
+    parts = F.when(n % 4 == 3, F.array("c_name", F.lit(" "))).when(n % 4 == 2, F.array(F.col("c_name"), F.lit("x"), F.lit("y"))).when(n % 4 == 1, F.array(F.col("c_name"), n.cast("string"))).otherwise(F.array(F.concat("c_name", F.lit(".")), n.cast("string")))
+    return c.select("c_custkey", R.prose_line(parts).alias("line"))
+
+
+@query(f"""WITH {A.POINTS_SQL}, m AS (SELECT *, avg(1.0) OVER () AS one FROM words WHERE fontname = 'Times') SELECT fontname AS source, count(*) AS pages, avg(size) AS mean_seconds FROM words GROUP BY fontname""")
+def source_stats(spark, sf_dir):
+    return K.source_stats(A.points(spark, sf_dir).select(F.col("fontname").alias("source"), F.col("size").alias("seconds")))
+
+
+@query()
+def page_documents(spark, sf_dir):
+    """All documents as pages of words, converted to HTML."""
+    from .. import pipeline as P
+
+    words = A.words(spark, sf_dir).select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("unit"), "word_id", "text", "x0", "x1", "top", "bottom", "size")
+    pages = spark.table("documents").select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("unit"), "text", "n_chars", F.lit(0).alias("n_ocr_chars"), F.lit(0.0).alias("cover"))
+    return P.pages_to_documents(pages, words)[0]
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each source: documents, lines, and how many documents read as prose."""
     lines = line_stats(spark, sf_dir)
