@@ -20,7 +20,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ _encoders: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of texts as packed little-endian 32-bit numbers."""
 
-    #: Pieces that are kept; beyond this the cache starts anew.
-    MOST = 1_200_000
+    #: Pieces that are kept; beyond this the cache starts anew. After a task only the first ones stay.
+    MOST, STAY = 600_000, 100_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,6 +57,10 @@ class Encoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
+    def rest(self) -> None:
+        """Give back most of the memory: workers live longer than a task."""
+        self.cache = dict(islice(self.cache.items(), self.STAY))
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -180,6 +184,7 @@ def _pack(path: str, end: int, size: int, windows: int):
                     for window in packer.add(doc, 0, ids + last, len(ids) // 4 + 1):
                         out.take(window)
                 yield from out.batches(5000)
+        encoder.rest()
         for window, full in packer.close():
             out.take(window, not full)
         yield from out.batches()
