@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,6 +13,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int):
+    """Batches of few rows for what runs meanwhile: rows with large values need little memory then."""
+    before = spark.conf.get(ROWS)
+    spark.conf.set(ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ROWS, before)
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
