@@ -51,6 +51,10 @@ class Similarity:
         """The least overlap of a set of n with any partner."""
         return (self.percent * n + 99) // 100
 
+    def alone(self, n):
+        """Whether a set of n can link with equal sets only: one shingle more is too much already."""
+        return 100 * n < self.percent * (n + 1)
+
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)
@@ -116,7 +120,7 @@ def _each_prefix(batch, how: Similarity, level: np.ndarray, seen: set):
     ids, texts = _ids(batch), text_of(batch, "text")
     for at, _, data, offsets in slices(texts):
         for r, x in enumerate(K.shingle_sets(data, offsets, how.k)):
-            if len(x) > how.least(len(x)) and (sign := _signature(x)) not in seen:
+            if not how.alone(len(x)) and (sign := _signature(x)) not in seen:
                 seen.add(sign)
                 yield (ids[at + r], len(x), *_prefix(x, level, how))
 

@@ -56,6 +56,22 @@ def test_same_classes_as_all_pairs(spark, seed, k, percent):
     assert got(link_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), Similarity(k, percent))) == brute(rows, k, percent)
 
 
+@pytest.mark.parametrize(("k", "percent", "n"), [(3, 90, 11), (5, 80, 8), (1, 60, 2)])
+def test_the_smallest_sets_that_link_with_a_superset(spark, k, percent, n):
+    rng = random.Random(n)
+    rows = []
+    for i in range(0, 60, 6):
+        words = [f"w{rng.randrange(10_000)}" for _ in range(n)]
+        # one word more at either end, a chain of both, and the next smaller set, which links with equal ones only
+        for j, x in enumerate((words, [*words, "end"], ["start", *words], words[:-1], words)):
+            rows.append((i + j, " ".join(x)))
+    rng.shuffle(rows)
+    rows.sort(key=lambda r: r[0] % 6)
+    want = brute(sorted(rows), k, percent)
+    assert [c for i, _, c in want if i < 5] == [0, 0, 0, 3, 0]
+    assert got(link_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), Similarity(k, percent))) == want
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A b"), (6, "x y z " * 3000), (7, "x y z " * 3000), (9, "é b c d"), (9, "é b c d")]
     df = spark.createDataFrame([(*r, "u") for r in rows], "doc_id long, text string, component_id string")
