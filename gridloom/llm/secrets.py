@@ -38,7 +38,7 @@ KINDS = (
     Kind("access", r"AKIA[A-Z0-9]+", 0, 20),
     Kind("hex", r"[0-9a-f]{24,}", 0, 24),
     Kind("account", r"""(?i)(?<![A-Za-z0-9])(?:client_?id|account_?id|access_?key_?id|user_?name|user|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})""", weak=True),
-    Kind("key", r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])", 0, 40, r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])", weak=True),
+    Kind("key", r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-]|\.+[A-Za-z0-9+/=_-])", 0, 40, r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])", weak=True),
     Kind("endpoint", r"""(?i)(?<![A-Za-z0-9])(?:https?|ftps?|ssh|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]+""", weak=True),
 )
 IDENTIFIERS, SECRETS = ("access", "account"), ("assign", "hex", "key")
