@@ -2,8 +2,8 @@
 
 Pivots (k-means over a bounded sample; any choice gives the same result) divide the queries into groups,
 large ones into blocks. For a block with pivot p and radius r every query q has q.x between p.x - r|x| and
-p.x + r|x|. Summaries (each partition's greatest lower bounds for each block) give a score that each of
-the block's queries is sure to reach k times; a vector is sent to a block only if its upper bound reaches
+p.x + r|x|. Summaries (each partition's greatest lower bounds for each block, one for each vec_id) give a
+score that each of the block's queries is sure to reach k times; a vector is sent to a block only if its upper bound reaches
 that. Blocks and cells of vectors meet in tasks of bounded size, which keep k rows for each query.
 
 Scores are inner products of integers, floor(256 * x) of each component, and exact while they stay below
@@ -104,20 +104,37 @@ def _bounds(x: np.ndarray, centres, reach):
     return middle - slack, middle + slack
 
 
+def _merge(best, of, low, ids):
+    """best (len, blocks), the greatest lower bounds of as many distinct vec_ids for each block, and of, those ids, with the rows low of ids counted in."""
+    known, back = np.unique(ids, return_inverse=True)
+    if len(known) < len(ids):
+        order = np.argsort(back, kind="stable")
+        low = np.maximum.reduceat(low[order], np.searchsorted(back[order], np.arange(len(known))), axis=0)
+    at = np.minimum(np.searchsorted(known, of), len(known) - 1)
+    slot, block = np.nonzero((known[at] == of) & np.isfinite(best))
+    at = at[slot, block]
+    low[at, block] = np.maximum(low[at, block], best[slot, block])
+    best = best.copy()
+    best[slot, block] = LOW
+    both = np.concatenate([best, low])
+    first = np.argpartition(both, len(low), axis=0)[len(low) :]
+    named = np.concatenate([of, np.broadcast_to(known[:, None], low.shape)])
+    return np.take_along_axis(both, first, axis=0), np.take_along_axis(named, first, axis=0)
+
+
 def _summaries(shared, k: int):
-    """Rows (block, lower): the k greatest lower bounds here for each block."""
+    """Rows (block, vec_id, lower): the greatest lower bounds of k distinct vec_ids here for each block."""
 
     def run(batches):
         numbers, centres, reach = shared.value
-        best = np.full((k, len(numbers)), LOW)
+        best, of = np.full((k, len(numbers)), LOW), np.zeros((k, len(numbers)), np.int64)
         for batch in batches:
-            x = _matrix(batch.column("x"))
+            x, ids = _matrix(batch.column("x")), batch.column("vec_id").to_numpy()
             for i in range(0, len(x), 2000):
                 low, _ = _bounds(x[i : i + 2000], centres, reach)
-                both = np.concatenate([best, low])
-                best = np.partition(both, len(both) - k, axis=0)[-k:]
+                best, of = _merge(best, of, low, ids[i : i + 2000])
         at, block = np.nonzero(np.isfinite(best))
-        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(numbers)[block]), pa.array(best[at, block])], ["block", "lower"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(numbers)[block]), pa.array(of[at, block]), pa.array(best[at, block])], ["block", "vec_id", "lower"])
 
     return run
 
@@ -183,9 +200,10 @@ def _one_length(spark, data: DataFrame, asked: DataFrame, n: int, how: Search) -
     numbers = sorted(reach)
     own = np.array([centres[b // blocks] for b in numbers]).reshape(len(numbers), n)
     far = np.array([reach[b] for b in numbers], float)
-    low = data.mapInArrow(_summaries(spark.sparkContext.broadcast((numbers, own, far)), how.k + 1), "block long, lower double")
+    low = data.mapInArrow(_summaries(spark.sparkContext.broadcast((numbers, own, far)), how.k + 1), "block long, vec_id long, lower double")
+    low = low.groupBy("block", "vec_id").agg(F.max("lower").alias("lower"))
     ranked = low.withColumn("i", F.row_number().over(Window.partitionBy("block").orderBy(F.col("lower").desc()))).where(F.col("i") <= how.k + 1)
-    # one of the k + 1 may be the query itself
+    # one of the k + 1 vec_ids may be the query's own, all of whose rows are excluded
     sure = {r["block"]: r["least"] for r in ranked.groupBy("block").agg(F.min("lower").alias("least"), F.count("*").alias("n")).where(F.col("n") > how.k).collect()}
     least = np.array([sure.get(b, LOW) for b in numbers], float)
     cells = max(1, round(data.count() / how.cell))

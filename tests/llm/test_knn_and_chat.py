@@ -26,6 +26,39 @@ def test_same_as_all_pairs(spark, cell):
     assert sorted(tuple(r) for r in got) == brute(rows, {i for i, _ in rows if i is not None and (i % 10 == 0 or i >= 300)}, 5)
 
 
+@pytest.mark.parametrize(("repeats", "queries"), [(6, {0}), (3, {0, 10, 20}), (9, set(range(0, 120, 4)))])
+def test_repeated_rows_of_a_query_are_not_its_neighbours(spark, repeats, queries):
+    rng = random.Random(repeats)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(120)]
+    rows += [(i, [2.0 * c for c in rows[i][1]]) for i in (0, 4)] if repeats == 9 else []
+    rows += [rows[i] for i in (0, 10, 20) for _ in range(repeats - 1)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = df.where(df.vec_id.isin(*queries))
+    if repeats < 9:
+        got = top_k(df, asked, Search(k=5, pivots=8, block=2, cell=50)).collect()
+        assert sorted(tuple(r) for r in got) == brute(rows, queries, 5)
+    else:
+        one = asked.dropDuplicates(["vec_id"])
+        first = {r.vec_id: r.embedding for r in one.collect()}
+        got = top_k(df, spark.createDataFrame(list(first.items()), df.schema), Search(k=5, pivots=8, block=2, cell=50)).collect()
+        want = [r for q, x in first.items() for r in brute([(q, x), *(r for r in rows if r[0] != q)], {q}, 5)]
+        assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_distinct_bounds():
+    from gridloom.llm.knn_join import LOW, _merge
+
+    rng = np.random.default_rng(1)
+    ids, low = rng.integers(0, 40, 500), rng.normal(size=(500, 7))
+    best, of = np.full((6, 7), LOW), np.zeros((6, 7), np.int64)
+    for i in range(0, 500, 90):
+        best, of = _merge(best, of, low[i : i + 90].copy(), ids[i : i + 90])
+    for b in range(7):
+        top = sorted(((max(low[ids == i, b]), i) for i in set(ids.tolist())), reverse=True)[:6]
+        assert sorted(zip(best[:, b], of[:, b], strict=True), reverse=True) == top
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df, df).count() == 0
