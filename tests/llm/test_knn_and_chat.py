@@ -39,24 +39,39 @@ def test_repeated_rows_of_a_query_are_not_its_neighbours(spark, repeats, queries
         got = top_k(df, asked, Search(k=5, pivots=8, block=2, cell=50)).collect()
         assert sorted(tuple(r) for r in got) == brute(rows, queries, 5)
     else:
-        one = asked.dropDuplicates(["vec_id"])
-        first = {r.vec_id: r.embedding for r in one.collect()}
-        got = top_k(df, spark.createDataFrame(list(first.items()), df.schema), Search(k=5, pivots=8, block=2, cell=50)).collect()
-        want = [r for q, x in first.items() for r in brute([(q, x), *(r for r in rows if r[0] != q)], {q}, 5)]
+        got = top_k(df, asked, Search(k=5, pivots=8, block=2, cell=50)).collect()
+        want = []
+        for query in queries:
+            ranked = sorted((-int(np.dot(*(np.floor(256 * np.array(v)).astype(int) for v in (x, y)))), j) for x in {tuple(r[1]) for r in rows if r[0] == query} for j, y in rows if j != query)[:5]
+            want += [(query, n, j, -s) for n, (s, j) in enumerate(ranked, 1)]
         assert sorted(tuple(r) for r in got) == sorted(want)
 
 
-def test_distinct_bounds():
-    from gridloom.llm.knn_join import LOW, _merge
+def test_bounds_hold():
+    from gridloom.llm.knn_join import Summary, fit_pivots, nearest
 
     rng = np.random.default_rng(1)
-    ids, low = rng.integers(0, 40, 500), rng.normal(size=(500, 7))
-    best, of = np.full((6, 7), LOW), np.zeros((6, 7), np.int64)
-    for i in range(0, 500, 90):
-        best, of = _merge(best, of, low[i : i + 90].copy(), ids[i : i + 90])
-    for b in range(7):
-        top = sorted(((max(low[ids == i, b]), i) for i in set(ids.tolist())), reverse=True)[:6]
-        assert sorted(zip(best[:, b], of[:, b], strict=True), reverse=True) == top
+    x, q = np.floor(rng.normal(size=(300, 5)) * 256), np.floor(rng.normal(size=(40, 5)) * 256)
+    centres = fit_pivots(x, 9)
+    group = nearest(x, centres)
+    part = [x[group == g] for g in range(9)]
+    far = np.array([np.linalg.norm(p - c, axis=1).max() if len(p) else 0 for p, c in zip(part, centres, strict=True)])
+    norm = np.array([np.linalg.norm(p, axis=1).max() if len(p) else 0 for p in part])
+    some = rng.permutation(300)[:60]
+    summary = Summary(centres, far, norm, np.array([len(p) for p in part]), some, x[some])
+    scores, own = q @ x.T, np.arange(40)
+    for g in range(9):
+        assert (summary.most(q)[:, g][:, None] >= scores[:, group == g]).all()
+    scores[own, own] = -np.inf  # each query has an id that some vector has too
+    assert (np.sort(scores, axis=1)[:, -5] >= summary.sure(q, own, 5)).all()
+
+
+def test_far_groups_are_not_read(spark):
+    rng = random.Random(3)
+    rows = [(i, [(100.0 if i % 2 else -100.0) + rng.random(), 100.0 * (i % 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = top_k(df, df.where("vec_id % 50 = 0"), Search(k=5, pivots=8, cell=40, block=3))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, set(range(0, 400, 50)), 5)
 
 
 def test_empty(spark):
