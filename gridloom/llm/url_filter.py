@@ -4,7 +4,8 @@ The keys of a url are its host and all parent domains. The distinct keys of the
 universe. Level 0 of the cascade encodes the listed keys, level 1 those other keys that pass level 0,
 level 2 the listed keys that pass level 1, and so on until nothing passes wrongly: membership is exact
 for every key of the universe, and no row is joined with the list. All levels are built and read with
-built-in functions.
+built-in functions. The keys are divided by a hash into shards, each with a cascade of bounded size, which
+are applied one after the other: a list of any length is judged in the same way.
 
 Edge cases: a null url or one without ``://`` has an empty host and path, no keys, no rule and the
 verdict ``allow``. Repeated rows are judged alike. An empty table gives an empty result. The result has
@@ -16,15 +17,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, read, spool
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-#: A cascade larger than this isn't broadcast; a semi-join on the key takes its place.
-MOST_BYTES = 64 << 20
+#: About the size of a shard's cascade, which is a literal of the plan.
+MOST_BYTES = 16 << 20
+#: Bits of a Bloom filter that are put together in one row.
+BLOCK = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -78,25 +80,43 @@ def domains(host: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(all_of)
 
 
-def build(universe: DataFrame, most_bytes: int = MOST_BYTES) -> list[Level] | None:
-    """The cascade for a table (key, listed) of distinct keys; None if it would be larger than most_bytes."""
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(shards).cast("long"))
+
+
+def rate_of(inside: int, others: int) -> float:
+    """The share of other keys that level 0 may let pass: about as many of them as there are listed keys."""
+    return min(0.5, max(1e-9, math.sqrt(0.5) * inside / max(others, 1)))
+
+
+def shards_for(inside: int, others: int, most_bytes: int) -> int:
+    """How many shards keep each cascade at about most_bytes; the levels after the first halve from one to the next but one."""
+    rate = rate_of(inside, others)
+    return max(1, math.ceil(1.4427 * (inside * math.log2(1 / rate) + 2 * others * rate + inside) / 8 / most_bytes))
+
+
+def packed_bits(at: DataFrame, bits: int) -> bytes:
+    """The bits numbered in the column at, as bytes; they reach the driver in rows of BLOCK bits."""
+    inner = F.col("at").bitwiseAND(F.lit(7)) + 56 - F.shiftright(F.col("at"), 3).bitwiseAND(F.lit(7)) * 8
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), inner.cast("int"))).alias("bits"))
+    own, size = F.struct((F.col("word") % (BLOCK // 64)).cast("int"), "bits"), BLOCK // 64
+    blocks = words.groupBy(F.expr(f"word div {size}").alias("block")).agg(F.map_from_entries(F.collect_list(own)).alias("m"))
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.element_at("m", i), F.lit(0))), 16, "0")), "")
+    found = {r["block"]: bytes(r["bytes"]) for r in blocks.select("block", F.unhex(text).alias("bytes")).toLocalIterator()}
+    return b"".join(found.get(i, bytes(BLOCK // 8)) for i in range(-(-bits // BLOCK)))[: bits // 8]
+
+
+def build(universe: DataFrame) -> list[Level]:
+    """The cascade for a table (key, listed) of distinct keys."""
     left = {True: universe.where("listed"), False: universe.where("NOT listed")}
     counts = {x["listed"]: x["n"] for x in universe.groupBy("listed").agg(F.count("*").alias("n")).collect()}
-    inside, total, side, levels = counts.get(True, 0), 0, True, []
-    others = counts.get(False, 0)
+    inside, side, levels = counts.get(True, 0), True, []
     while inside:
-        rate = 0.5 if levels else min(0.5, max(1e-9, math.sqrt(0.5) * inside / max(others, 1)))
+        rate = 0.5 if levels else rate_of(inside, counts.get(False, 0))
         bits = max(64, 64 * math.ceil(inside * 1.4427 * math.log2(1 / rate) / 64))
-        hashes = max(1, round(math.log2(1 / rate)))
-        total += bits // 8
-        if total > most_bytes:
-            return None
-        number = len(levels)
+        hashes, number = max(1, round(math.log2(1 / rate))), len(levels)
         at = left[side].select(F.explode(F.array(*places(F.col("key"), number, bits, hashes))).alias("at"))
-        rows = at.groupBy(F.shiftright("at", 3).alias("byte")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("at").bitwiseAND(F.lit(7)).cast("int"))).alias("bits")).toPandas()
-        packed = np.zeros(bits // 8, np.uint8)
-        packed[rows["byte"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint8)
-        level = Level(number, bits, hashes, packed.tobytes())
+        level = Level(number, bits, hashes, packed_bits(at, bits))
         levels.append(level)
         left[not side] = left[not side].where(level.has(F.col("key")))
         side = not side
@@ -131,13 +151,15 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...], *,
     both = keys.select("key", F.lit(True).alias("seen"), F.lit(False).alias("listed")).union(listed.select(ascii_lower(F.col("key")), F.lit(False), F.lit(True)))
     merged = both.groupBy("key").agg(F.bool_or("seen").alias("seen"), F.bool_or("listed").alias("listed"))
     universe = spool(merged.where(F.col("seen") & F.col("key").isNotNull()).select("key", "listed"), "universe")
-    levels = build(universe, most_bytes)
-    if levels is not None:
-        judged = found.withColumn("listed", F.exists(domains(F.col("host")), lambda x: member(levels, x)))
-    else:
-        hosts = found.select("host").distinct().select("host", F.explode(domains(F.col("host"))).alias("key"))
-        hit = hosts.join(universe.where("listed").select("key"), "key", "left_semi").select("host").distinct().withColumn("listed", F.lit(True))
-        judged = found.join(hit, "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    sizes = {r["listed"]: r["n"] for r in universe.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+    shards = shards_for(sizes.get(True, 0), sizes.get(False, 0), most_bytes)
+    judged = found.withColumn("listed", F.lit(False))
+    for shard in range(shards):
+        levels = build(universe.where(shard_of(F.col("key"), shards) == shard))
+        own = F.filter(domains(F.col("host")), lambda x: shard_of(x, shards) == shard)  # noqa: B023
+        judged = judged.withColumn("listed", F.col("listed") | F.exists(own, lambda x: member(levels, x)))  # noqa: B023
+        if shards > 1:
+            judged = spool(judged, "judged")
     by_list = F.when(F.col("listed"), F.lit(listed_verdict)).otherwise(F.lit(other_verdict))
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict"), "listed")
 

@@ -1,6 +1,8 @@
 import random
 
-from gridloom.llm.url_filter import RULES, Rule, build, judge_urls, member
+from pyspark.sql import functions as F
+
+from gridloom.llm.url_filter import RULES, Rule, build, judge_urls, member, packed_bits, shards_for
 
 
 def plain(url, listed, rules):
@@ -23,9 +25,9 @@ def test_same_as_sets(spark):
     urls = [None, "", "no scheme", "http://", "http:///x", "https://EXAMPLE.org/en/1?q", "x://org", "x://org/", "a://b.com/fr/://c"]
     urls += [f"http{rng.choice(['', 's'])}://{'.'.join(rng.choice(names) for _ in range(rng.randint(1, 4)))}.{rng.choice(['org', 'com', 'net'])}{rng.choice(['', '/', '/fr/x', '/de/', '/en/12', '?a', '#b', '/es/?x'])}" for _ in range(400)]
     listed = {"bad.com", "spam-farm.net", "b.bad.org", "example.net", "not.there"}
-    df = spark.createDataFrame([(i, u, "n", "x") for i, u in enumerate(urls)] * 2, "page_id long, url string, host string, key string").repartition(3)
+    df = spark.createDataFrame([(i, u, "n", "x", "r", "v", True) for i, u in enumerate(urls)] * 2, "page_id long, url string, host string, key string, rule string, verdict string, listed boolean").repartition(3)
     keys = spark.createDataFrame([(x.upper() if x != "not.there" else x,) for x in listed] + [(None,)], "key string")
-    for most in (1 << 20, 0):
+    for most in (1 << 20, 3):
         got = judge_urls(df, keys, RULES, most_bytes=most).collect()
         assert len(got) == 2 * len(urls)
         for r in got:
@@ -39,3 +41,18 @@ def test_cascade_is_exact_for_its_universe(spark):
     levels = build(universe)
     assert len(levels) > 2 and sum(x.bits for x in levels) < 6000 * 4
     assert universe.where(member(levels, universe["key"]) != universe["listed"]).count() == 0
+
+
+def test_bits_are_packed_whole(spark):
+    rng = random.Random(8)
+    at = {rng.randrange(200_000) for _ in range(3000)} | {0, 63, 64, 199_999}
+    packed = packed_bits(spark.createDataFrame([(x,) for x in [*at, *list(at)[:50]]], "at long"), 200_000)
+    assert {i for i in range(200_000) if packed[i >> 3] >> (i & 7) & 1} == at and len(packed) == 25_000
+
+
+def test_long_lists_go_by_shards(spark):
+    assert shards_for(3000, 9000, 1 << 20) == 1 and shards_for(3000, 9000, 500) > 3
+    pages = spark.range(4000).selectExpr("id AS page_id", "concat('http://h', id, '.net/x') AS url")
+    keys = spark.range(4000).where("id % 3 = 0").select(F.concat(F.lit("h"), "id", F.lit(".net")).alias("key"))
+    judged = judge_urls(pages, keys, (), most_bytes=500)
+    assert judged.where("(verdict = 'block') <> (page_id % 3 = 0)").count() == 0 and judged.count() == 4000
