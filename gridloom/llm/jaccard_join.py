@@ -11,10 +11,13 @@ shingle's posting list every document is first held against one pivot, and what
 Then the pairs that still join different classes, and share enough shingles, are all verified; none is
 dropped. Exact copies of a set are merged beforehand.
 
+Texts are the nodes: rows of one doc_id with unlike texts get a node each, beside the doc_id itself. Where
+the class of a doc_id is asked for, they are tied together; where rows are dropped, they aren't.
+
 Edge cases: a null or empty text, or one without words, has an empty set and is linked with nothing (a
 class of its own). Fewer than k words make one shingle of the whole sequence. Rows with the same doc_id
-count as one node. Rows with a null doc_id come back with a null class. An empty table gives an empty
-result. Only doc_id and text are read.
+are in one class, which all their texts link to. Rows with a null doc_id come back with a null class. An
+empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ from . import kernels as K
 from .common import short_batches, slices, spool, text_of
 from .graph import components
 
-#: Counters of the order's table (a byte each, sent to all tasks), and shingles that a task counts at a time.
-COUNTERS = 1 << 23
-SHIFT = K.U(41)
+#: The order's table has a byte for each counter and goes to all tasks: four counters a shingle of the corpus, 2**26 (64 MB) at most.
+LEAST_BITS, MOST_BITS = 16, 26
+#: Counters that are put together in one row, and shingles that a task counts at a time.
 BLOCK = 1 << 13
 RUN = 2_000_000
 
@@ -60,6 +63,11 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch.column("doc_id").to_numpy(zero_copy_only=False), np.int64)
 
 
+def _spots_of(x: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each hash: its upper bits."""
+    return (x >> K.U(64 - counters.bit_length() + 1)).astype(np.int64)
+
+
 def _signature(x: np.ndarray) -> tuple[int, int]:
     with np.errstate(over="ignore"):
         a, b = K.mix(x + K.U(1)).sum(dtype=np.uint64), K.mix(x ^ K.U(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
@@ -67,37 +75,40 @@ def _signature(x: np.ndarray) -> tuple[int, int]:
 
 
 def _survey(k: int):
-    """Rows of two sorts: (0, doc_id, signature, n) of documents, and (1, counter, 0, 0, count) of shingles met again within a run of documents."""
+    """Rows of two sorts: (0, doc_id, signature, n, first) of documents, and (1, counter, 0, 0, count, null) of shingles met again within a run of documents.
+
+    first: the first document of the same set in this task; itself for the first.
+    """
+    names = ["sort", "a", "b", "c", "n", "first"]
 
     def run(batches):
-        waiting, seen, size = [], set(), 0
+        waiting, seen, size = [], {}, 0
 
         def again():
             nonlocal waiting, size
             tokens, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *waiting]), return_counts=True)
             waiting, size = [], 0
-            spots, back = np.unique((tokens[counts > 1] >> SHIFT).astype(np.int64), return_inverse=True)
+            spots, back = np.unique(_spots_of(tokens[counts > 1], 1 << MOST_BITS), return_inverse=True)
             counts = np.bincount(back, counts[counts > 1], len(spots)).astype(np.int64)
             for i in range(0, len(spots), 100_000):
                 x = spots[i : i + 100_000]
                 zero = pa.array(np.zeros(len(x), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(x), np.int32)), pa.array(x), zero, zero, pa.array(counts[i : i + 100_000])], ["sort", "a", "b", "c", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(x), np.int32)), pa.array(x), zero, zero, pa.array(counts[i : i + 100_000]), pa.nulls(len(x), pa.int64())], names)
 
         for batch in batches:
             ids, texts, rows = _ids(batch), text_of(batch, "text"), []
             for at, _, data, offsets in slices(texts):
                 for r, x in enumerate(K.shingle_sets(data, offsets, k)):
-                    sign = _signature(x)
-                    rows.append((ids[at + r], *sign, len(x)))
-                    if sign not in seen:
-                        seen.add(sign)
+                    sign, own = _signature(x), ids[at + r]
+                    rows.append((own, *sign, len(x), seen.setdefault(sign, own)))
+                    if rows[-1][-1] == own:
                         waiting.append(x)
                         size += len(x)
                 if size > RUN:
                     yield from again()
             if rows:
-                a, b, c, n = (np.array(v, np.int64) for v in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(a), np.int32)), pa.array(a), pa.array(b), pa.array(c), pa.array(n)], ["sort", "a", "b", "c", "n"])
+                columns = [pa.array(np.array(v, np.int64)) for v in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), *columns], names)
         yield from again()
 
     return run
@@ -106,7 +117,7 @@ def _survey(k: int):
 def _prefix(x: np.ndarray, level: np.ndarray, how: Similarity) -> tuple[int, np.ndarray]:
     """The l chosen for a set, and its prefix in the global order (level, hash)."""
     n, least = len(x), how.least(len(x))
-    own = level[(x >> SHIFT).astype(np.int64)]
+    own = level[_spots_of(x, len(level))]
     order = np.argsort(own, kind="stable")
     cost = np.cumsum(np.exp2(own[order[: n - least + how.most]].astype(float)))
     reaches = np.arange(1, min(how.most, least) + 1)
@@ -239,7 +250,7 @@ def _block(key, table):
 
 
 def _raised(levels: np.ndarray, counts: DataFrame) -> np.ndarray:
-    """levels with those of the counters of counts (spot, n), which come to the driver as COUNTERS bytes at most."""
+    """levels with those of the counters of counts (spot, n), which come to the driver as a byte each at most."""
     rows = counts.select("spot", F.least(F.floor(F.log2("n")), F.lit(63)).cast("int").alias("level"))
     packed = rows.groupBy(F.expr(f"spot div {BLOCK}").alias("block")).applyInArrow(_block, "block long, bytes binary").collect()
     out = levels.copy()
@@ -267,19 +278,52 @@ def link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
         return _link_classes(documents, how)
 
 
+def _with_nodes(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """documents with a column _node, a number for each text of a doc_id, and ties (u, v) between the texts of one doc_id, if there are any.
+
+    It is the doc_id, or for doc_ids that have unlike texts a number above 2**62, a hash of both.
+    """
+    number = F.col("doc_id").cast("long")
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    unlike = documents.where("doc_id IS NOT NULL").select(number.alias("_id"), own.alias("_hash")).groupBy("_id").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).where("lo <> hi").select("_id")
+    unlike = spool(unlike, "unlike")
+    if not unlike.take(1):
+        return documents.withColumn("_node", number), None
+    marked = documents.join(unlike, number == F.col("_id"), "left")
+    apart = F.shiftrightunsigned(F.xxhash64(number, "text"), 2).bitwiseOR(F.lit(1 << 62))
+    marked = marked.withColumn("_node", F.when(F.col("_id").isNotNull(), apart).otherwise(number))
+    ties = marked.where("_id IS NOT NULL").select(F.col("_node").alias("u"), F.col("_id").alias("v")).distinct()
+    return marked.drop("_id"), ties
+
+
 def _link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
-    spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = docs.where("doc_id IS NOT NULL")
-    survey = spool(known.mapInArrow(_survey(how.k), "sort int, a long, b long, c long, n long"), "survey")
+    docs, ties = _with_nodes(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    sizes, final = _linked(docs.where("_node IS NOT NULL").select(F.col("_node").alias("doc_id"), "text"), how, ties)
+    if ties is not None:
+        sizes = sizes.join(ties.select(F.col("u").alias("doc_id"), "v"), "doc_id", "left").select(F.coalesce("v", "doc_id").alias("doc_id"), "n")
+    out = sizes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    lost = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_lost(how.k), out.schema)
+    return out.union(lost)
+
+
+def _linked(known: DataFrame, how: Similarity, ties: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n) for each row of known (doc_id, text), whose doc_ids name texts; and (node, component) of those in classes of several, which ties (u, v) belong to."""
+    spark = known.sparkSession
+    survey = spool(known.mapInArrow(_survey(how.k), "sort int, a long, b long, c long, n long, first long"), "survey")
     spark_levels = lambda x: spark.sparkContext.broadcast(x.tobytes())
-    levels = _raised(np.zeros(COUNTERS, np.uint8), survey.where("sort = 1").groupBy(F.col("a").alias("spot")).agg(F.sum("n").alias("n")))
+    sizes = survey.where("sort = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("s1"), F.col("c").alias("s2"), "n", "first")
+    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (4 * total).bit_length()))
+    levels = _raised(np.zeros(1 << bits, np.uint8), survey.where("sort = 1").groupBy(F.shiftright("a", MOST_BITS - bits).alias("spot")).agg(F.sum("n").alias("n")))
     counts = known.mapInArrow(_probe(how, spark_levels(levels)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 4)
-    levels = _raised(levels, counts.groupBy(F.expr("shiftrightunsigned(token, 41)").alias("spot")).agg(F.max("n").alias("n")))
-    sizes = survey.where("sort = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("s1"), F.col("c").alias("s2"), "n")
-    firsts = sizes.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first"))
-    copies = sizes.where("n > 0").join(firsts, ["s1", "s2", "n"]).select(F.col("doc_id").alias("u"), F.col("first").alias("v")).where("u <> v")
-    copies = spool(copies, "copies")
+    levels = _raised(levels, counts.groupBy(F.shiftrightunsigned("token", 64 - bits).alias("spot")).agg(F.max("n").alias("n")))
+    # a set's copies hang on the first in their task, and the firsts of all tasks on one of them
+    firsts = sizes.where("n > 0 AND doc_id = first").select("first", "s1", "s2", "n").distinct()
+    tops = firsts.groupBy("s1", "s2", "n").agg(F.min("first").alias("top"), F.count("*").alias("tasks")).where("tasks > 1").select("s1", "s2", "n", "top")
+    higher = spool(firsts.join(tops, ["s1", "s2", "n"]).select(F.col("first").alias("u"), F.col("top").alias("v")).where("u <> v"), "firsts")
+    below = sizes.where("n > 0 AND doc_id <> first").select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
+    copies = spool(below.union(higher), "copies")
 
     prefixes = known.mapInArrow(_prefixes(how, spark_levels(levels)), "token long, doc_id long, n int, reach int, at int")
     prefixes = spool(prefixes, "prefixes")
@@ -287,7 +331,7 @@ def _link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
     rows = spool(prefixes.join(shared, "token"), "postings")
 
     # copies hang on their first: they need no search for classes
-    edges, labels = copies, copies.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    edges, labels = copies, higher.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(2):
         live = _open(_labelled(rows, labels)).where(F.col("component") != F.col("pivot.component"))
         live = live.select(F.struct("doc_id", "n", "reach", "at").alias("x"), "pivot").where(_meets("x", "pivot", how))
@@ -305,11 +349,8 @@ def _link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
     met = live.where("component <> main").alias("x").join(live.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _meets("x", "y", how) & late & once)
     pairs = met.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"), reach.alias("reach"))
     pairs = pairs.groupBy("a", "b", "reach").agg(F.count("*").alias("shared")).where("shared >= least(reach, 2)")
-    final = components(edges.union(_verified(known, pairs, how)))
-    out = sizes.select("doc_id", "n").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    lost = docs.where("doc_id IS NULL").mapInArrow(_lost(how.k), out.schema)
-    return out.union(lost)
+    edges = edges.union(_verified(known, pairs, how))
+    return sizes.select("doc_id", "n"), components(edges if ties is None else edges.union(ties))
 
 
 def _lost(k: int):
@@ -323,10 +364,17 @@ def _lost(k: int):
 
 
 def drop_near_copies(documents: DataFrame, how: Similarity = Similarity()) -> DataFrame:
-    """documents with one row of each class: the one of the smallest doc_id. Rows without a doc_id all stay."""
-    kept = link_classes(documents, how).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = documents.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return first.union(documents.where("doc_id IS NULL"))
+    """documents with one row of each class: the one of the smallest doc_id.
+
+    Rows without a doc_id all stay. Of a doc_id with unlike texts each text is judged for itself; in a class
+    they come after the doc_ids that have one text. Repeated rows are one.
+    """
+    docs, _ = _with_nodes(documents)
+    with short_batches(documents.sparkSession, 1000):
+        _, classes = _linked(docs.where("_node IS NOT NULL").select(F.col("_node").alias("doc_id"), "text"), how)
+    others = classes.where("node <> component").select(F.col("node").alias("_node"))
+    kept = docs.where("_node IS NOT NULL").join(others, "_node", "left_anti").dropDuplicates(["_node"])
+    return kept.select(*documents.columns).union(docs.where("_node IS NULL").select(*documents.columns))
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):
