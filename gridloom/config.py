@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -65,6 +65,7 @@ TYPE_SIGNALS = (
     ("upd", 0.9, r"(?iu)Статус:\s*[12]\s*[–-]\s*(?:счет|передаточн)"),
     ("upd", 0.7, r"(?iu)ММВ-20-3/96"),
 )
+#: Folders that tell a type.
 PATH_HINTS = (
     ("rsbu", r"(?iu)(?:^|[/\\])РСБУ(?:[/\\]|$)"),
     ("ks2", r"(?iu)(?:^|[/\\])кс-?2(?:[/\\]|$)"),
@@ -73,6 +74,7 @@ PATH_HINTS = (
     ("torg12", r"(?iu)(?:^|[/\\])торг\s*12(?:[/\\]|$)"),
     ("upd", r"(?iu)(?:^|[/\\])упд(?:[/\\]|$)"),
 )
+#: Further evidence for a type, and words of forms.
 UPD_EVIDENCE = r"(?iuU)\bУПД\b|Универсальный\s+передаточн|передаточный\s+документ|Статус\s*:\s*[12]|ММВ-20-3/96|счет-фактура\s+и\s+передаточн"
 KS3_EVIDENCE = r"(?iu)КС-?3|0322001|СТОИМОСТИ\s+ВЫПОЛНЕННЫХ"
 KS2_EVIDENCE = r"(?iu)КС-?2|0322005|ПРИЕМК"
@@ -144,18 +146,20 @@ class Suitability:
     force_large: float = 0.4
     force_spans: float = 0.55
     #: Frequent pairs of letters, and words of financial forms.
-    bigrams: tuple[str, ...] = tuple(
-        "ст но ен ов ни на ра то ер ро ан ко ал по ол ор ес ос те ле ск ин ль во ка пр ре не ли та от ат ии ие ой ый ть ся ци че ва де го ем ам ом ум им ел ла ри ти тр за из ых их ее".split()
+    # fmt: off
+    bigrams: tuple[str, ...] = (
+        "ст", "но", "ен", "ов", "ни", "на", "ра", "то", "ер", "ро", "ан", "ко", "ал", "по", "ол", "ор", "ес", "ос", "те", "ле",
+        "ск", "ин", "ль", "во", "ка", "пр", "ре", "не", "ли", "та", "от", "ат", "ии", "ие", "ой", "ый", "ть", "ся", "ци", "че",
+        "ва", "де", "го", "ем", "ам", "ом", "ум", "им", "ел", "ла", "ри", "ти", "тр", "за", "из", "ых", "их", "ее",
     )
-    words: tuple[str, ...] = field(
-        default=tuple(
-            (
-                "приложение приказу министерства финансов российской федерации форма бухгалтерского баланса декабря наименование показателя показатель капитал уставный "
-                "добавочный резервный нераспределенная прибыль корректировки изменением учетной политики исправлением ошибок чистые активы дивиденды реорганизация "
-                "уменьшение количество акций отчет изменениях организация юридического лица пояснения актив пассив"
-            ).split()
-        )
+    words: tuple[str, ...] = (
+        "приложение", "приказу", "министерства", "финансов", "российской", "федерации", "форма", "бухгалтерского", "баланса",
+        "декабря", "наименование", "показателя", "показатель", "капитал", "уставный", "добавочный", "резервный", "нераспределенная",
+        "прибыль", "корректировки", "изменением", "учетной", "политики", "исправлением", "ошибок", "чистые", "активы",
+        "дивиденды", "реорганизация", "уменьшение", "количество", "акций", "отчет", "изменениях", "организация", "юридического",
+        "лица", "пояснения", "актив", "пассив",
     )
+    # fmt: on
 
     def at(self, strictness: float, limits: tuple[int, ...], floor: tuple[int, ...]) -> tuple[int, ...]:
         """Limits for a strictness from 0 to 1; looser below the default one, down to the floor above it."""
@@ -179,3 +183,6 @@ REASONS = {
     "image_only_scan": "scan without a text layer",
     "unmarked_table_lines": "tables whose lines are only in the image",
 }
+#: Headings of balance sections, with and without an item behind them.
+SECTION = r"^((?:АКТИВ|ПАССИВ)(?:\s+[IVXLCХ]+\.\s+[А-ЯЁ][А-ЯЁ0-9\-\s«»\"]*[А-ЯЁ])?|[IVXLCХ]+\.\s+[А-ЯЁ][А-ЯЁ0-9\-\s«»\"]*[А-ЯЁ])\s+([А-ЯЁA-Z][а-яё].+)$"
+SECTION_ONLY = r"(?i)^(?:АКТИВ|ПАССИВ|(?:АКТИВ|ПАССИВ)\s+[IVXLCХ]+\.\s+.+|[IVXLCХ]+\.\s+[А-ЯЁA-Z].+)$"

@@ -49,8 +49,8 @@ def size_stats(cells: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.max("w").alias("n_cols"), F.sum("c").alias("n_cells"))
 
 
-def row_signals(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """What each row shows: filled cells, share of numbers, texts, sentences, and whether it looks like data."""
+def row_signals(cells: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """What each row shows: filled cells, share of numbers, texts, sentences, and whether it looks like data; more: further aggregates."""
     t = T.strip(F.col("text"))
     c = cells.withColumns({"_t": t, "_see": visible(), "_num": T.looks_numeric(F.col("text")), "_val": T.data_value(F.col("text"))})
     see = lambda x: F.col("_see") & x
@@ -65,7 +65,7 @@ def row_signals(cells: DataFrame, keys: list[str]) -> DataFrame:
         F.sum((text & (F.length("_t") > 50) & F.col("_t").rlike("[.;»]$")).cast("int")).alias("sentences"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_see"), F.struct("col", "_t")))), lambda x: x["_t"]), " ").alias("joined"),
         any_(F.col("_t").rlike(r"^\d{4}$")).alias("_account"), any_(F.col("_val") | F.col("_t").isin("Х", "X", "х", "x", "-", "—")).alias("_any"), any_(cross).alias("_cross"), any_(F.col("_val")).alias("_value"),
         any_((F.col("col") == 0) & T.has_letter(F.col("text"))).alias("_left"), any_((F.col("col") > 0) & value).alias("_right"), any_(mixed).alias("_mixed"),
-        F.min(F.when(see(word), F.col("col"))).alias("_word"), F.max(F.when(see(value), F.col("col"))).alias("_last"), any_(F.col("text").contains("•")).alias("bullet"),
+        F.min(F.when(see(word), F.col("col"))).alias("_word"), F.max(F.when(see(value), F.col("col"))).alias("_last"), any_(F.col("text").contains("•")).alias("bullet"), *more,
     )
     data = (F.col("_account") & F.col("_any")) | (F.col("_cross") & F.col("_value")) | (F.col("_left") & F.col("_right")) | F.coalesce(F.col("_last") > F.col("_word"), F.lit(False)) | F.col("_mixed")
     ratio = F.when(F.col("filled") > 0, F.col("numbers") / F.col("filled")).otherwise(0.0)
@@ -74,9 +74,9 @@ def row_signals(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 def prose_tables(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Whether each table is running text or a list of contents, with the measures that decide."""
-    rows = row_signals(cells, keys)
-    size = cells.groupBy(*keys, "row").agg(F.count("*").alias("width"), F.sum(F.when(visible(), F.length(T.strip(F.col("text")))).otherwise(0)).alias("chars"), F.max(F.when(F.col("col") == 0, F.length(T.strip(F.col("text"))))).alias("head_chars"))
-    r = rows.join(size, [*keys, "row"])
+    length = F.length(T.strip(F.col("text")))
+    size = (F.count("*").alias("width"), F.sum(F.when(visible(), length).otherwise(0)).alias("chars"), F.max(F.when(F.col("col") == 0, length)).alias("head_chars"))
+    r = row_signals(cells.repartition(*keys), keys, *size)
     n = lambda c: F.sum(c.cast("int"))
     t = r.groupBy(*keys).agg(
         F.count("*").alias("n_rows"), F.max("width").alias("n_cols"), F.sum("filled").alias("filled"), F.sum("numbers").alias("numbers"), n(F.col("filled") == 1).alias("blobs"), n(F.col("label_and_number")).alias("tabular_rows"),

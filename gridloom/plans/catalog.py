@@ -423,8 +423,7 @@ def plain_table(spark, sf_dir):
 @query()
 def render_table(spark, sf_dir):
     """Tables as HTML with heads, spans and alignment; tested on small grids."""
-    cells = A.cells(spark, sf_dir)
-    return R.table_html(cells, N.header_rows(G.row_signals(cells, KEY), KEY), KEY)
+    return R.table_html(A.cells(spark, sf_dir), KEY)
 
 
 @query(f"WITH {A.CELLS_SQL} SELECT table_key, coalesce(string_agg(CASE WHEN {SEE} THEN trim(text) END, ' ' ORDER BY row, col), '') AS text FROM cells GROUP BY table_key")

@@ -113,8 +113,7 @@ def test_folds():
 
 def test_html_and_markdown(spark):
     df = grid(spark, [["Наименование", "Код", "Сумма"], ["Активы", "1110", "1 500"]], r0c0=(1, 2)).withColumn("covered", (F.col("row") == 0) & (F.col("col") == 1))
-    kinds = spark.createDataFrame([(1, 0, "HEADER"), (1, 1, "DATA")], "k int, row int, kind string")
-    html = R.table_html(df, kinds, ["k"]).first().html
+    html = R.table_html(df, ["k"]).first().html
     assert html.startswith('<table><thead><tr><th colspan="2" style="text-align: left">Наименование</th>') and '<td style="text-align: right">1 500</td></tr></tbody></table>' in html
     assert R.markdown_table(G.matrix(df, ["k"]), ["k"]).first().markdown.split("\n")[1] == "| --- | --- | --- |"
 
