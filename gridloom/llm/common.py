@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir, spool
+
+__all__ = ["ROWS", "ascii_lower", "each_batch", "read", "shared_dir", "short_batches", "slices", "spool", "text_of"]
+
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -36,32 +38,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only in local mode, where all are one process, may it be unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    kept = getattr(shared_dir, "own", None)
-    if kept is None:
-        kept = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="gridloom-")
-    return kept
-
-
-def spool(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there and survives lost executors.
-
-    The table is removed when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)
