@@ -1,10 +1,13 @@
 """I-Match fingerprints.
 
 A term counts if its share of all documents lies in a band. A document's terms in the band, distinct and
-sorted, are hashed once for each of several randomised subsets of that lexicon, which keep from a half to
-a 256th of it: equal sets of terms agree in all hashes, similar ones in those subsets that miss what
-differs. The likeness of two fingerprints is the share of equal hashes among the subsets that either has
-terms in.
+sorted, are hashed as a whole, and again for several randomised subsets of that lexicon: subset (j, r) keeps
+a term with chance 1 / 2**r, and each next r keeps half of what the one before kept. Of the rates the
+fingerprint holds the first at which at most half of the subsets keep a term of the document, and the two
+after it, so that a hash stands for one or two terms whatever the document's length. The likeness of two
+fingerprints is the share of equal hashes among the subsets of common rates in which either has terms; it
+follows the share of common terms. Documents whose numbers of terms differ more than some eightfold have no
+common rate and no likeness.
 
 Document frequencies are exact. Each partition first reports the terms that reach the band's lower share
 there (or all, if it has few documents), which every term of the band does somewhere; those are then
@@ -33,18 +36,20 @@ from .common import read, slices, text_of
 
 @dataclass(frozen=True)
 class Band:
-    """Least and greatest share of documents, and the number of subsets."""
+    """Least and greatest share of documents, number of subsets of each rate, and rates that a fingerprint holds."""
 
     low: float = 0.002
-    high: float = 0.25
+    high: float = 0.1
     subsets: int = 32
+    rates: int = 3
     seed: int = 11
 
-    def masks(self, terms: np.ndarray) -> np.ndarray:
-        """For each term, the subsets that keep it, as columns."""
-        out = np.zeros((len(terms), self.subsets), bool)
+    def depths(self, terms: np.ndarray) -> np.ndarray:
+        """For each term (row) and subset number (column) the last rate that keeps it, up to 31."""
+        out = np.empty((len(terms), self.subsets), np.uint8)
         for j in range(self.subsets):
-            out[:, j] = K.mix(terms ^ K.mix(np.array([self.seed * 1000 + j], np.uint64))) >> K.U(63 - j % 8) == 0
+            x = K.mix(terms ^ K.mix(np.array([self.seed * 1000 + j], np.uint64))) >> K.U(33) | K.U(1)
+            out[:, j] = 31 - np.frexp(x.astype(np.float64))[1]  # leading zeros of 31 bits
         return out
 
 
@@ -133,21 +138,25 @@ def lexicon(documents: DataFrame, band: Band) -> np.ndarray:
 class Fingerprints:
     """Fingerprints by a lexicon."""
 
-    EMPTY = "-" * 8
-
     def __init__(self, terms: np.ndarray, band: Band):
-        self.terms, self.band, self.kept = terms, band, band.masks(terms)
+        self.terms, self.band, self.depth = terms, band, band.depths(terms)
 
     def of_set(self, x: np.ndarray) -> str:
-        """x: sorted distinct terms of a text."""
+        """x: sorted distinct terms of a text. ``i`` or ``t`` (terms in the band, or all), the whole hash, then ``/rate:number=hash,...``."""
         at = np.minimum(np.searchsorted(self.terms, x), max(len(self.terms) - 1, 0))
         hit = self.terms[at] == x if len(self.terms) else np.zeros(len(x), bool)
         if hit.any():
-            x, kept, sort = x[hit], self.kept[at[hit]], "i"
+            x, depth, sort = x[hit], self.depth[at[hit]], "i"
         else:
-            kept, sort = self.band.masks(x), "t"
-        out = [hashlib.blake2b(x[kept[:, j]].tobytes(), digest_size=4).hexdigest() if any_ else self.EMPTY for j, any_ in enumerate(kept.any(axis=0))]
-        return sort + ".".join(out)
+            depth, sort = self.band.depths(x), "t"
+        out = [sort + hashlib.blake2b(x.tobytes(), digest_size=8).hexdigest()]
+        if len(x):
+            top = depth.max(axis=0)
+            first = next(r for r in range(1, 33) if 2 * np.count_nonzero(top >= r) <= self.band.subsets)
+            for r in range(first, first + self.band.rates):
+                cells = [f"{j}={hashlib.blake2b(x[depth[:, j] >= r].tobytes(), digest_size=4).hexdigest()}" for j in np.flatnonzero(top >= r)]
+                out.append(f"{r}:{','.join(cells)}")
+        return "/".join(out)
 
     def of(self, texts: list[str]) -> list[str]:
         array = pa.array(texts, pa.string())
@@ -159,8 +168,13 @@ class Fingerprints:
             return 1.0
         if a[0] != b[0]:
             return 0.0
-        pairs = [(x, y) for x, y in zip(a[1:].split("."), b[1:].split("."), strict=True) if x != cls.EMPTY or y != cls.EMPTY]
-        return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+        one, two = (dict(part.split(":") for part in f.split("/")[1:]) for f in (a, b))
+        same = either = 0
+        for rate in one.keys() & two.keys():
+            x, y = (set(cells.split(",")) - {""} for cells in (one[rate], two[rate]))
+            same += len(x & y)
+            either += len({c.split("=")[0] for c in x | y})
+        return same / either if either else 0.0
 
 
 def add_fingerprint(documents: DataFrame, band: Band = Band()) -> DataFrame:
@@ -177,28 +191,46 @@ def add_fingerprint(documents: DataFrame, band: Band = Band()) -> DataFrame:
     return documents.mapInArrow(run, StructType([*documents.schema.fields]).add("fingerprint", StringType()))
 
 
-def _deal(bounds: list, before: dict | None):
-    """Rows (part, ghost, doc_id, text); the first document of a part also goes, as a ghost, to the part before it."""
+def _places(ids: pa.Array, hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The part of each row: by doc_id, and by the text's hash where one doc_id takes several parts."""
+    x = ids.fill_null(-(1 << 63)).to_numpy()
+    low, high = np.searchsorted(edges, x, "left"), np.searchsorted(edges, x, "right")
+    share = hashes.astype(np.float64) / 2.0**64 + 0.5
+    return (low + np.floor(share * np.maximum(high - low, 1)).astype(np.int64).clip(0, np.maximum(high - low - 1, 0))).astype(np.int32)
+
+
+def _deal(bounds: list, before: dict | None, keys: list[int]):
+    """Rows (part, slot, ghost, doc_id, hash, text); the first document of a part also goes, as a ghost, to the part before it.
+
+    slot: a number that hash partitioning sends to a task of its own for each part.
+    """
+    names = ["part", "slot", "ghost", "doc_id", "hash", "text"]
 
     def run(batches):
-        edges = np.array(bounds, np.float64)
+        edges, slots = np.array(bounds, np.int64), np.array(keys, np.int64)
         for batch in batches:
-            ids = batch.column("doc_id")
-            part = np.searchsorted(edges, ids.fill_null(-(1 << 63)).to_numpy().astype(np.float64), "left").astype(np.int32)
+            ids, hashes = batch.column("doc_id"), batch.column("hash")
+            part = _places(ids, hashes.to_numpy(), edges)
             if before is None:
-                yield pa.RecordBatch.from_arrays([pa.array(part), ids], ["part", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(part), ids, hashes], ["part", "doc_id", "hash"])
                 continue
-            own = pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(part), bool)), ids, text_of(batch, "text")], ["part", "ghost", "doc_id", "text"])
+            own = pa.RecordBatch.from_arrays([pa.array(part), pa.array(slots[part]), pa.array(np.zeros(len(part), bool)), ids, hashes, text_of(batch, "text")], names)
             yield own
-            at = [i for i, x in enumerate(ids.to_pylist()) if x in before]
-            if at:
-                some = own.take(pa.array(at))
-                to = pa.array([before[x] for x in some.column("doc_id").to_pylist()], pa.int32())
-                yield pa.RecordBatch.from_arrays([to, pa.array(np.ones(len(at), bool)), some.column("doc_id"), some.column("text")], ["part", "ghost", "doc_id", "text"])
+            first = [(i, before[x]) for i, x in enumerate(zip(ids.to_pylist(), hashes.to_pylist(), strict=True)) if x in before]
+            if first:
+                some, to = own.take(pa.array([i for i, _ in first])), np.array([p for _, p in first], np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(slots[to]), pa.array(np.ones(len(to), bool)), *some.columns[3:]], names)
 
     return run
 
 
+def _slots(spark, parts: int) -> list[int]:
+    """For each part a number that hash partitioning by so many parts sends to it."""
+    rows = spark.range(0, 40 * parts + 200).groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("p")).agg(F.min("id").alias("id")).collect()
+    found = {r["p"]: r["id"] for r in rows}
+    return [found.get(p, p) for p in range(parts)]
+
+
 PAIRS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -226,18 +258,20 @@ def _pairs(shared, band: Band):
 def compare_with_next(documents: DataFrame, band: Band = Band()) -> DataFrame:
     """Each document's fingerprint against those of its edited text and of the next document.
 
-    Parts are ranges of doc_id; each also gets the first document of the next, so texts move once and
-    tasks read their rows in order, one behind the other.
+    Parts are ranges of doc_id, and of the text's hash for a doc_id of very many rows; each also gets the
+    first document of the next, so texts move once and tasks read their rows in order, one behind the other.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * docs.rdd.getNumPartitions())
-    bounds = sorted(set(docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts))) if docs.where("doc_id IS NOT NULL").take(1) else []
-    firsts = docs.select("doc_id").mapInArrow(_deal(bounds, None), "part int, doc_id long").groupBy("part").agg(F.min("doc_id").alias("first"), F.bool_or(F.col("doc_id").isNull()).alias("lost")).orderBy("part").collect()
-    before = {None if r["lost"] else r["first"]: firsts[i - 1]["part"] for i, r in enumerate(firsts)}
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), "text")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * docs.rdd.getNumPartitions())
+    found = docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts) if docs.where("doc_id IS NOT NULL").take(1) else []
+    bounds, keys = sorted(int(x) for x in found), _slots(spark, parts + 1)
+    low = F.min(F.struct("doc_id", "hash")).alias("first")
+    firsts = docs.select("doc_id", "hash").mapInArrow(_deal(bounds, None, keys), "part int, doc_id long, hash long").groupBy("part").agg(low).orderBy("part").collect()
+    before = {tuple(r["first"]): firsts[i - 1]["part"] for i, r in enumerate(firsts)}
     shared = spark.sparkContext.broadcast(lexicon(docs, band).tobytes())
-    dealt = docs.mapInArrow(_deal(bounds, before), "part int, ghost boolean, doc_id long, text string").repartition(parts, "part")
-    ordered = dealt.sortWithinPartitions("part", "ghost", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    dealt = docs.mapInArrow(_deal(bounds, before, keys), "part int, slot long, ghost boolean, doc_id long, hash long, text string").repartition(parts + 1, "slot")
+    ordered = dealt.sortWithinPartitions("part", "ghost", F.col("doc_id").asc_nulls_first(), "hash").select("part", "ghost", "doc_id", "text")
     return ordered.mapInArrow(_pairs(shared, band), PAIRS)
 
 
