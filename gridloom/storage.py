@@ -21,14 +21,27 @@ def shared_dir(spark: SparkSession) -> str:
     return kept
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def spool(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there and survives lost executors.
 
-    The table is removed when the driver ends.
+    The table is removed by discard, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._spooled = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that spool returned, once nothing that is still to run reads it."""
+    place, files = _place(df.sparkSession, df._spooled)
+    files.delete(place, True)
