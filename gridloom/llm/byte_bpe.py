@@ -194,9 +194,11 @@ def add_digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         codec = Codec.of(path, pattern)
         for batch in batches:
-            ids = [np.frombuffer(x.as_buffer(), np.uint32).tolist() for x in batch.column("ids")]
-            raw = [hashlib.sha256(codec.decode(x)).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_digest(x) for x in ids], pa.string()), pa.array(raw, pa.string())], [*batch.schema.names, "ids_sha256", "decoded_sha256"])
+            both: list[tuple[str, str]] = []
+            for x in batch.column("ids"):  # one row's numbers at a time
+                ids = np.frombuffer(x.as_buffer(), np.uint32).tolist()
+                both.append((_digest(ids), hashlib.sha256(codec.decode(ids)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x for x, _ in both], pa.string()), pa.array([x for _, x in both], pa.string())], [*batch.schema.names, "ids_sha256", "decoded_sha256"])
 
     from pyspark.sql.types import StringType, StructType
 
