@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import shared_dir, spool
+from ..storage import discard, shared_dir, spool
 
-__all__ = ["ROWS", "ascii_lower", "each_batch", "read", "shared_dir", "short_batches", "slices", "spool", "text_of"]
+__all__ = ["ROWS", "ascii_lower", "discard", "each_batch", "read", "shared_dir", "short_batches", "slices", "spool", "text_of"]
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import discard, spool
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), F.col("u").isNotNull().alias("a"), F.col("v").isNotNull().alias("b")).where("a AND b AND u <> v")
     edges = spool(edges.select("u", "v").distinct(), "edges")
     while True:
-        edges = spool(_small_star(_large_star(edges).distinct()).distinct(), "stars")
+        before, edges = edges, spool(_small_star(_large_star(edges).distinct()).distinct(), "stars")
+        discard(before)
         # done when every node hangs on one centre and no centre hangs on another
         twice = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
         chained = edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_semi")

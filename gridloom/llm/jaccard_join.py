@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import short_batches, slices, spool, text_of
+from .common import discard, short_batches, slices, spool, text_of
 from .graph import components
 
-#: The order's table has a byte for each counter and goes to all tasks: four counters a shingle of the corpus, 2**26 (64 MB) at most.
-LEAST_BITS, MOST_BITS = 16, 26
+#: The order's table has a byte for each counter and goes to all tasks: a counter for each shingle of the corpus, 2**24 (16 MB) at most.
+LEAST_BITS, MOST_BITS = 16, 24
 #: Counters that are put together in one row, and shingles that a task counts at a time.
 BLOCK = 1 << 13
 RUN = 2_000_000
@@ -311,13 +311,15 @@ def _linked(known: DataFrame, how: Similarity, ties: DataFrame | None = None) ->
     """(doc_id, n) for each row of known (doc_id, text), whose doc_ids name texts; and (node, component) of those in classes of several, which ties (u, v) belong to."""
     spark = known.sparkSession
     survey = spool(known.mapInArrow(_survey(how.k), "sort int, a long, b long, c long, n long, first long"), "survey")
-    spark_levels = lambda x: spark.sparkContext.broadcast(x.tobytes())
     sizes = survey.where("sort = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("s1"), F.col("c").alias("s2"), "n", "first")
     total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    bits = min(MOST_BITS, max(LEAST_BITS, (4 * total).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, int(total).bit_length()))
     levels = _raised(np.zeros(1 << bits, np.uint8), survey.where("sort = 1").groupBy(F.shiftright("a", MOST_BITS - bits).alias("spot")).agg(F.sum("n").alias("n")))
-    counts = known.mapInArrow(_probe(how, spark_levels(levels)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 4)
+    sent = spark.sparkContext.broadcast(levels.tobytes())
+    counts = known.mapInArrow(_probe(how, sent), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 4)
     levels = _raised(levels, counts.groupBy(F.shiftrightunsigned("token", 64 - bits).alias("spot")).agg(F.max("n").alias("n")))
+    sent.destroy()
+    sent = spark.sparkContext.broadcast(levels.tobytes())
     # a set's copies hang on the first in their task, and the firsts of all tasks on one of them
     firsts = sizes.where("n > 0 AND doc_id = first").select("first", "s1", "s2", "n").distinct()
     tops = firsts.groupBy("s1", "s2", "n").agg(F.min("first").alias("top"), F.count("*").alias("tasks")).where("tasks > 1").select("s1", "s2", "n", "top")
@@ -325,10 +327,11 @@ def _linked(known: DataFrame, how: Similarity, ties: DataFrame | None = None) ->
     below = sizes.where("n > 0 AND doc_id <> first").select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
     copies = spool(below.union(higher), "copies")
 
-    prefixes = known.mapInArrow(_prefixes(how, spark_levels(levels)), "token long, doc_id long, n int, reach int, at int")
-    prefixes = spool(prefixes, "prefixes")
+    prefixes = spool(known.mapInArrow(_prefixes(how, sent), "token long, doc_id long, n int, reach int, at int"), "prefixes")
+    sent.destroy()
     shared = prefixes.groupBy("token").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("token")
     rows = spool(prefixes.join(shared, "token"), "postings")
+    discard(prefixes)
 
     # copies hang on their first: they need no search for classes
     edges, labels = copies, higher.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -341,6 +344,7 @@ def _linked(known: DataFrame, how: Similarity, ties: DataFrame | None = None) ->
         labels = spool(components(edges), "labels")
     # all pairs that are still in different classes: those outside a token's pivot class against all others
     live = spool(_open(_labelled(rows, labels)).select("token", "doc_id", "n", "reach", "at", "component", F.col("pivot.component").alias("main")), "open")
+    discard(rows)
     # of l shared tokens the last two lie at least as the (l - 1)th in either's own list of open tokens: earlier ones needn't meet
     live = live.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy("at", "token")))
     reach = F.least("x.reach", "y.reach")
