@@ -1,11 +1,12 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
 import pytest
 
 from gridloom.llm import dom
-from gridloom.llm.html_text import Layouts, decode, extract, extract_pages, trained
+from gridloom.llm.html_text import KINDS, Layouts, decode, extract, extract_pages, trained
 
 PAGE = (
     '<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">Home</a><li><a href="/b">More</a></ul></nav>'
@@ -23,13 +24,37 @@ def test_generated_pages_of_another_seed():
     layouts, both, found, true = Layouts(77), 0, 0, 0
     for _ in range(80):
         source = layouts.page()
-        marked = re.findall(f"{Layouts.ON}(.*?){Layouts.OFF}", re.sub(r'<a href="/a">|</a>', "", source), re.S)
-        want = " ".join(" ".join(unescape(x).split()) for x in marked).split()
-        got = extract([source.replace(Layouts.ON, "").replace(Layouts.OFF, "")], trained())[0].split()
+        want = " ".join(" ".join(unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.findall(f"{Layouts.ON}(.*?){Layouts.OFF}", source, re.S)).split()
+        got = extract([Layouts.clean(source)], trained())[0].split()
         found, true, both = found + len(got), true + len(want), both + len(set(got) & set(want)) / max(len(set(want) | set(got)), 1)
     assert both / 80 > 0.93 and 0.9 < found / true < 1.1
 
 
+PROSE = "It was a long day, and nobody had expected the rain to stop. The river rose again at night. "
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        (PROSE, PROSE.strip()),
+        (f"<p>{PROSE}</p>{PROSE}<p>{PROSE}</p>", " ".join([PROSE.strip()] * 3)),
+        (f"<html><body><article><p>{PROSE}</p></article></body></html>", PROSE.strip()),
+        (f"<article><p>{PROSE}So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds &amp; 1 < 2 too.</p><p>{PROSE}</p></article>", f"{PROSE}So x=2 holds & 1 < 2 too. {PROSE.strip()}"),
+        (f"<nav class=menu><a href=/>Home</a> <a href=/b>News</a></nav><div><p>{PROSE}</p><p>{PROSE}{PROSE}</p></div><footer>© me</footer>", " ".join([PROSE.strip()] * 3)),
+        (f"<article><p>{PROSE}</p><script>var a = '<p>no</p>';</script><textarea>no</textarea><p>{PROSE}</p></article>", " ".join([PROSE.strip()] * 2)),
+    ],
+)
+def test_known_pages(source, want):
+    assert extract([source], trained()) == [want]
+
+
+@pytest.mark.parametrize("part", ['<a "x" ', "<a x='", "<p", "<!--", "<", "<li><ul><span>", "</p", "<script", '<a b="', "<p><b>", "<td><tr>", "&amp;<br/"])
+def test_time_grows_with_length_only(part):
+    began = time.time()
+    page = dom.Page(part * 100_000)
+    assert len(page.parents) == len(page.tags) and time.time() - began < 4
+
+
 def test_decoding_has_no_contradiction():
     rng = np.random.default_rng(1)
     page = dom.Page(PAGE)
@@ -41,7 +66,7 @@ def test_decoding_has_no_contradiction():
 @pytest.mark.parametrize("source", ["", "no tags", "<", "<p", "<!--", "</p></div>", "<p>" * 3000, "<div>" * 3000 + "x", "<script>", "<table><tr><td>a<td>b<tr><td>c", "<p class=a'b>x</p>", "a" * 200_000])
 def test_odd_sources(source):
     page = dom.Page(source)
-    assert dom.features(page).shape == (len(page.tags), dom.NAMES)
+    assert dom.features(page, trained().learned).shape == (len(page.tags), 2 * KINDS + dom.DENSITIES)
     assert isinstance(extract([source], trained())[0], str)
 
 
