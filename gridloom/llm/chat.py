@@ -3,8 +3,13 @@
 For every participant (each distinct role but ``system``) the dialogue is rendered with that speaker as the
 assistant and all others as named users. The result has a row for each perspective and turn: the rendered
 segment, its place in the whole text (code points), the part of it that is trained on, and a flag. Places
-are running sums over bounded blocks of turns, and the blocks' totals, so a very long dialogue isn't
-gathered in one task; ``assemble`` joins segments to whole texts.
+are running sums over blocks of turns and the blocks' totals; blocks are ranges of all turns in order, dealt
+out to tasks alike whatever the turns' numbers are, so a very long dialogue isn't gathered in one task.
+``assemble`` joins segments to whole texts.
+
+Texts and names can't forge turns: in both, ``<|`` gets a backslash between its characters, and so does
+``|>`` (one more where backslashes stand there already, so this can be undone); line breaks in names become
+blanks. Places and masks are those of the rendered text.
 
 Edge cases: a null role is the participant ``unknown``; a null text is empty. Turns that tie are ordered by
 role, then by text, nulls first. A dialogue of system turns only has no perspectives. Rows with a null
@@ -13,25 +18,37 @@ conv_id form one dialogue. Repeated rows are repeated turns. An empty table give
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, spool
+
+CLOSE = "\n<|end|>\n"
+
+
+def escaped(text: Column) -> Column:
+    """text without the marks that open or close a turn; unescaped gives it back."""
+    return F.regexp_replace(F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|"), r"\|(\\*)>", r"|\\$1>")
+
 
-OPEN, CLOSE = "<|{}|>\n", "\n<|end|>\n"
-BLOCK = 512
+def unescaped(text: Column) -> Column:
+    """The text that escaped made."""
+    return F.regexp_replace(F.regexp_replace(text, r"\|\\(\\*)>", "|$1>"), r"<\\(\\*)\|", "<$1|")
 
 
 def rotate(conversations: DataFrame) -> DataFrame:
     """(conv_id, perspective, turn, speaker, shown, segment, start, end, train_start, train_end, trained)."""
-    turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("speaker"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
+    order = ["conv_id", F.col("turn").asc_nulls_first(), "speaker", "text"]
+    ranges = turns.withColumn("_i", F.monotonically_increasing_id()).repartitionByRange(int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order, "_i")
+    turns = spool(ranges.drop("_i").withColumn("block", F.spark_partition_id()), "turns")
     parties = turns.where("speaker <> 'system'").select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
     each = turns.join(parties, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
-    shown = F.when(F.col("speaker") == "system", "system").when(F.col("speaker") == F.col("perspective"), "assistant").otherwise(F.concat(F.lit("user name="), F.col("speaker")))
+    shown = F.when(F.col("speaker") == "system", "system").when(F.col("speaker") == F.col("perspective"), "assistant").otherwise(F.concat(F.lit("user name="), escaped(F.translate("speaker", "\r\n", "  "))))
     head = F.concat(F.lit("<|"), shown, F.lit("|>\n"))
     each = each.select("*", shown.alias("shown"), head.alias("head"), F.concat(head, "text", F.lit(CLOSE)).alias("segment"))
     keys = ["conv_id", "perspective"]
-    each = each.withColumn("size", F.length("segment").cast("long")).withColumn("block", F.expr(f"coalesce(turn, -1) div {BLOCK}"))
+    each = each.withColumn("size", F.length("segment").cast("long"))
     totals = each.groupBy(*keys, "block").agg(F.sum("size").alias("total"))
     before = F.coalesce(F.sum("total").over(Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     totals = totals.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("block").alias("_block"), before.alias("before"))
@@ -58,11 +75,15 @@ def op9_perspective_rotation(spark, sf_dir):
 
 
 OP9_SQL = """
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker,
+    regexp_replace(regexp_replace(coalesce(text, ''), '<(\\\\*)\\|', '<\\\\\\1|', 'g'), '\\|(\\\\*)>', '|\\\\\\1>', 'g') AS text
+  FROM conversations),
 p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM t WHERE speaker <> 'system'),
 e AS (
   SELECT conv_id, perspective, turn, speaker, text,
-    CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user name=' || speaker END AS shown
+    CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' 
+      ELSE 'user name=' || regexp_replace(regexp_replace(translate(speaker, chr(13) || chr(10), '  '), '<(\\\\*)\\|', '<\\\\\\1|', 'g'), '\\|(\\\\*)>', '|\\\\\\1>', 'g') END AS shown
   FROM t JOIN p ON conv_id IS NOT DISTINCT FROM c),
 s AS (SELECT *, '<|' || shown || '|>' || chr(10) AS head, '<|' || shown || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS segment FROM e),
 q AS (SELECT *, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end" FROM s),
