@@ -7,8 +7,8 @@ Scoring folds vectors and output layer into one number a class for each hash, so
 for each of its n-grams, whatever the vectors' size.
 
 Edge cases: a null or empty text has no features and scores by the bias alone. Labels that are null are
-ignored; a doc_id with several labels gives a training row for each. Rows with a null doc_id are scored,
-and not held out. Without any labels every score is 0.5. An empty table gives an empty result.
+ignored; a doc_id with several labels gives a training row for each, one with several texts is learned from
+one of them. Rows with a null doc_id are scored, and not held out. Without any labels every score is 0.5. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -122,15 +122,31 @@ def score(texts: list[str], model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
+def score_long(text: str, model: Model, size: int = 1 << 18) -> float:
+    """score of one text, in pieces of about size characters that end at white space."""
+    total = count = at = 0
+    while at < len(text):
+        end = at + size
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        ids, _ = features([text[at:end]], model.settings)
+        total, count, at = total + float(model.table[ids].sum(dtype=np.float64)), count + len(ids), end
+    return float(1 / (1 + np.exp(-np.clip(model.bias + total / max(count, 1), -700, 700))))
+
+
 def score_all(texts: list[str], model: Model, size: int = 1 << 16) -> np.ndarray:
-    """score, in runs of about size characters."""
-    out, at, n = [np.zeros(0)], 0, 0
-    for i, t in enumerate(texts, 1):
-        n += len(t)
-        if n >= size or i == len(texts):
-            out.append(score(texts[at:i], model))
-            at, n = i, 0
-    return np.concatenate(out)
+    """score, in runs of about size characters; what is over 4 * size alone, in pieces."""
+    out, run, n = [], [], 0
+    for t in [*texts, None]:
+        if run and (t is None or n >= size or len(t) > 4 * size):
+            out.append(score(run, model))
+            run, n = [], 0
+        if t is not None and len(t) > 4 * size:
+            out.append(np.array([score_long(t, model, 4 * size)]))
+        elif t is not None:
+            run.append(t)
+            n += len(t)
+    return np.concatenate([np.zeros(0), *out])
 
 
 def sample(documents: DataFrame, labels: DataFrame, how: Settings) -> list[tuple[str, int]]:
@@ -143,9 +159,10 @@ def sample(documents: DataFrame, labels: DataFrame, how: Settings) -> list[tuple
     picked = chosen.collect()
     if not picked:
         return []
-    small = documents.sparkSession.createDataFrame([(int(r["_id"]), r["_quality"]) for r in picked], "_id long, _quality int")
-    found = documents.join(F.broadcast(small), documents["doc_id"] == small["_id"]).select("_id", "_quality", F.coalesce("text", F.lit("")).alias("text")).collect()
-    return [(r["text"], r["_quality"]) for r in sorted(found, key=lambda r: (r["_id"], r["_quality"], r["text"]))]
+    small = documents.sparkSession.createDataFrame([(r["_id"], r["_quality"]) for r in picked], chosen.schema)
+    own = F.coalesce("text", F.lit(""))
+    found = documents.join(F.broadcast(small), documents["doc_id"] == small["_id"]).groupBy("_id", "_quality").agg(F.min_by(own, F.xxhash64(own)).alias("text")).collect()
+    return [(r["text"], r["_quality"]) for r in sorted(found, key=lambda r: (str(r["_id"]), r["_quality"]))]
 
 
 def fit(documents: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Model:

@@ -32,3 +32,16 @@ def test_stages_take_effect(spark, tmp_path):
     encoder = packing.Encoder.of(public_tokenizers.path("word_bpe_49k.json"))
     for r in pieces:
         assert r.doc_tokens == len(encoder.encode([kept[r.doc_id].text.encode()])[0]) // 4 + 1
+
+
+def test_nulls_no_labels_and_no_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, None, None, None, None), (None, "a b c d e f", "en", "s", 11), (2, "", "en", None, 0), (3, "a b c d e f", "en", "s", 11), (3, "quite another text of some words", "en", "s", 32), (4, "a b c d e f", "en", "s", 11), (4, "a b c d e f", "en", "s", 11)]
+    for name, some in (("some", rows), ("none", [])):
+        folder = f"file://{tmp_path}/{name}"
+        spark.createDataFrame(some, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        pieces = corpus_pipeline.run(spark, folder).collect()
+        whole = sorted((r.doc_id or 0, r.doc_tokens) for r in pieces)
+        # equal texts are one row; null and empty texts are linked with nothing, and unlike texts of one doc_id both stay
+        assert [i for i, _ in whole] == ([0, 1, 2, 3, 4] if some else [])

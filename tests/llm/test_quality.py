@@ -35,3 +35,39 @@ def test_long_texts_and_no_labels(spark):
     assert add_score(empty, model).count() == 0
     none = fit(empty, spark.createDataFrame([], "doc_id long, quality int"))
     assert score(["a"], none).tolist() == [0.5]
+
+
+def test_pieces_of_a_long_text():
+    import numpy as np
+
+    from gridloom.llm.quality import score_all
+
+    rows = corpus(60)
+    model = train([(t, q) for _, t, q in rows])
+    long = " ".join(t + f" x{i}" for i, (_, t, _) in enumerate(rows * 3))
+    texts = [rows[0][1], long, "", "y" * 9000, rows[1][1]]
+    assert np.allclose(score_all(texts, model, 500), score(texts, model), atol=2e-3) and np.allclose(score_all(texts, model), score(texts, model))
+
+
+def test_query_on_a_folder(spark, tmp_path):
+    import zlib
+
+    from gridloom.llm.quality import op3_quality_classifier
+
+    rows, folder = corpus(), f"file://{tmp_path}"
+    docs = [(i, t) for i, t, _ in rows] + [(5, rows[5][1]), (5, "another text"), (700, None), (None, "dan ber")]
+    spark.createDataFrame([(i, t, "en", 1.0) for i, t in docs], "doc_id long, text string, lang string, score double").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, q) for i, _, q in rows] + [(3, None), (None, 1), (99_999, 1)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    got = op3_quality_classifier(spark, folder).collect()
+    assert got[0].asDict().keys() == {"doc_id", "held_out", "score", "predicted"} and len(got) == len(docs)
+    truth = {i: q for i, _, q in rows}
+    for r in got:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 30 and sum(r.predicted == truth[r.doc_id] for r in held) > 0.93 * len(held)
+
+
+def test_doc_ids_of_text(spark):
+    rows = corpus(60)
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t, _ in rows], "doc_id string, text string")
+    assert len(keep_good(docs, spark.createDataFrame([(f"d{i}", q) for i, _, q in rows], "doc_id string, quality int")).collect()) >= 40
