@@ -186,3 +186,52 @@ REASONS = {
 #: Headings of balance sections, with and without an item behind them.
 SECTION = r"^((?:АКТИВ|ПАССИВ)(?:\s+[IVXLCХ]+\.\s+[А-ЯЁ][А-ЯЁ0-9\-\s«»\"]*[А-ЯЁ])?|[IVXLCХ]+\.\s+[А-ЯЁ][А-ЯЁ0-9\-\s«»\"]*[А-ЯЁ])\s+([А-ЯЁA-Z][а-яё].+)$"
 SECTION_ONLY = r"(?i)^(?:АКТИВ|ПАССИВ|(?:АКТИВ|ПАССИВ)\s+[IVXLCХ]+\.\s+.+|[IVXLCХ]+\.\s+[А-ЯЁA-Z].+)$"
+
+#: What column headers, rows of forms and table tails say. Written for any engine: no flags, \\w as [\\p{L}\\d_].
+HEADER_EXACT = ("пояснения", "код", "договор", "поступило", "выбыло", "списано", "начислено", "итого", "актив", "пассив", "баланс")
+HEADER_WHOLE = r"^(?:переоцен|на\s+31\s+декабря|(?:\d\s*){4}\s*г(?:ода?)?\.?|доля,?\s*%?|№|n|№\s*п/?п)$"
+HEADER_PAYMENT = r"п/?п|предмет\s+договора|дата\s+оплаты|сумма\s+оплаты|единица\s+измерения|количество|код\s+вида|цена\s*\(|тариф|стоимость|налоговая\s+ставка|примечание"
+HEADER_SECOND = (
+    r"условн[\p{L}\d_]*\s*обознач|национальн|цифро[-\s]*в[\p{L}\d_]*\s*код|кратк[\p{L}\d_]*\s*наименов|код\s*по\s*океи|наименов[\p{L}\d_]*\s*,?\s*характерист|масса\s*брутто|масса\s*нетто|"
+    r"вид\s*упаков|по\s*поряд|выполнено\s*работ|цена\s*за\s*единиц|стоимост[\p{L}\d_]*,?\s*руб"
+)
+HEADER_COMPANION = r"условн|обознач|национал|цифро|кратк|наименов|океи|код|измер|количеств|ставк|акциз"
+HEADER_PARTS = (
+    r"условн[\p{L}\d_]*\s*обознач|национальн|код\s*вида\s*товар|наименован[\p{L}\d_]*\s*товар|единиц[\p{L}\d_]*\s*измер|сумма\s*налог|стоимост[\p{L}\d_]*\s*товар|цифро[-\s]*в|кратк[\p{L}\d_]*\s*наименов|"
+    r"без\s*налога|с\s*налогом|номер\s*по\s*поряд|наименован[\p{L}\d_]*\s*работ|выполнено\s*работ"
+)
+ITEM_HEADERS = (
+    r"наименован[\p{L}\d_]*\s+товар",
+    r"код\s+товар|код\s+вида",
+    r"единиц[\p{L}\d_]*\s+измер",
+    r"сумма\s+налог",
+    r"стоимост[\p{L}\d_]*\s+товар",
+    r"налогов[\p{L}\d_]*\s+ставк|нало-?\s*говая\s+ставка",
+    r"номер\s+по\s+поряд",
+    r"наименован[\p{L}\d_]*\s+работ",
+    r"выполнено\s+работ",
+    r"масса\s+брутто|масса\s+нетто",
+)
+PAYMENT_HEADERS = r"п/?п|предмет\s+договора|сумма|дата\s+оплаты|наименование|единица\s+измерения|количество|примечание"
+COLUMN_HEADERS = (
+    r"наименование\s+товар|наименован[\p{L}\d_]*\s+работ|количеств|кол-?во|цена\s*\(|цена,|стоимост|ед\.?\s*изм|единица\s+измерен|номенклатур|масса\s+(?:брутто|нетто)|сумма\s*(?:без|с\s*ндс|ндс)?|"
+    r"(?:^|[^\p{L}\d_])ндс(?:$|[^\p{L}\d_])|обоснование|выполнено|номер\s+по\s+порядку|№\s*п/?п"
+)
+FOOTERS = (
+    r"по\s+доверенности|отпуск\s+груза\s+разрешил|груз\s+получил|груз\s+принял|главный\s*\(?старший\)?\s*бухгалтер|м\.?\s*п\.?|расшифровка\s+подписи|"
+    r"товарная\s+накладная\s+имеет\s+приложение|всего\s+отпущено\s+на\s+сумму"
+)
+SIGNATURES = r"должность|подпись|расшифровка|прописью"
+PARTIES = r"\(\s*\d+[аaбb]?\s*\)|продавец\s*:|покупатель\s*:|инн\s*/?\s*кпп|грузоотправител|грузополучател|статус\s*:|плательщик|поставщик\s*:"
+FORM_HEADS = r"грузоотправител|грузополучател|поставщик|плательщик|форма\s+по\s+окуд|унифицированн|товарная\s+накладн"
+DATA_WORDS = r"наименование|единица|количество|цена|сумма|ндс|товар|номенклатур|кол-во|масса"
+CHROME = (
+    r"м\.?\s*п\.?|по\s+доверенности|прописью|приложение\s+на|имеет\s+приложение|унифицированная\s+форма|форма\s+по\s+окуд|товарная\s+накладная\s+имеет|товар\s*\(груз\)\s*передал|"
+    r"результаты\s+работ|ответственн[\p{L}\d_]+\s+за\s+правильност|номер\s+документа|дата\s+составл"
+)
+CHROME_PARTIES = r"грузоотправител|грузополучател|поставщик|плательщик|номер\s+документа|дата\s+составл|по\s+окпо|по\s+окуд"
+INTRO_MARKERS = ("Пояснения", "Организация", "ОКПО", "ИНН", "ОКВЭД", "бухгалтерск")
+COMPANY = r"(?:ООО|ЗАО|ПАО|АО|ИП)[\s«\"]"
+PAGE_ONLY = r"^Страница\s+\d+$"
+#: Words of a header that was pressed into one row with the data before it.
+MASHED = ("код", "строки", "период", "наименование", "на начало", "изменения за период", "на конец", "затраты за", "обесценение", "принято к учету", "основных", "стоимость")

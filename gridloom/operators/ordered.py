@@ -212,3 +212,16 @@ def horizontal_bands(rows: DataFrame, keys: list[str]) -> DataFrame:
     first = lambda c: F.min(F.when(F.col(c), F.col("row"))).over(key)
     marked = marked.withColumn("split_row", F.coalesce(from_index, first("_data"), first("_gap")))
     return marked.withColumn("band", F.when(F.col("row") >= F.col("split_row"), 1).otherwise(0)).drop("_data", "_gap", "_index")
+
+
+def line_text() -> Column:
+    """An aggregate: a line's words in their order, joined."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_id", "text"))), lambda x: x["text"]), " ")
+
+
+def clusters_of(gap: float = 18.0) -> Column:
+    """An aggregate: how many groups of words a line has, by gaps between their centres."""
+    centres = F.array_sort(F.collect_list((F.col("x0") + F.col("x1")) / 2))
+    n = F.size(centres)
+    jumps = F.zip_with(F.slice(centres, 2, F.greatest(n, F.lit(1))), F.slice(centres, 1, F.greatest(n - 1, F.lit(0))), lambda b, a: b - a > gap)
+    return (F.size(F.filter(jumps, lambda x: x)) + 1).cast("long")

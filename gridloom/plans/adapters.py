@@ -1,11 +1,12 @@
 """Relations of pages, words and cells made from plain tables, so that every operator has input.
 
-Each is SQL that Spark and DuckDB read alike; ``{t}`` is put before table names by neither: Spark reads the
-tables as views of the input folder.
+Each is SQL that Spark and DuckDB read alike.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Line items as cells of one table for each order: label, code, quantity, price, status, mark.
@@ -49,17 +50,51 @@ SELECT o_custkey AS doc, row_number() OVER (PARTITION BY o_custkey ORDER BY o_or
   CASE WHEN o_orderkey % 4 = 0 THEN 'rsbu' WHEN o_orderkey % 4 = 1 THEN 'ks2' END AS own_type
 FROM orders
 """
+#: Line items as tables of forms, some sixteen rows each: goods with numbered columns, prose, a form's head, goods, bullets, prose in two columns, a statement, payments.
+FORM_BASE = """
+fb AS (
+  SELECT tk, CAST(rn AS INT) AS r, k, q, c, CAST(tk % 8 AS INT) AS kind, n FROM (
+    SELECT CAST(floor(l_orderkey / 4) AS BIGINT) AS tk, l_partkey AS k, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS c,
+      row_number() OVER (PARTITION BY CAST(floor(l_orderkey / 4) AS BIGINT) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS rn,
+      count(*) OVER (PARTITION BY CAST(floor(l_orderkey / 4) AS BIGINT)) AS n FROM lineitem) AS f0)
+"""
+FORM_CELLS = """
+SELECT tk AS table_key, r AS row, CAST(col AS INT) AS col, kind, k,
+  CASE kind
+    WHEN 0 THEN CASE WHEN r = 0 THEN CASE col WHEN 0 THEN '№ п/п' WHEN 1 THEN 'Наименование товара' WHEN 2 THEN 'Единица измерения' WHEN 3 THEN 'Количество' WHEN 4 THEN 'Цена, руб.' ELSE 'Сумма без НДС' END
+      WHEN r = 1 THEN CAST(col + 1 AS VARCHAR(9)) WHEN r = n - 1 AND n > 5 THEN CASE WHEN col >= 4 THEN concat(CAST(c AS VARCHAR(9)), ',00') ELSE '' END
+      ELSE CASE col WHEN 0 THEN CAST(r - 1 AS VARCHAR(9)) WHEN 1 THEN concat('Болт стальной ', CAST(k AS VARCHAR(9))) WHEN 2 THEN 'шт' WHEN 3 THEN CAST(q AS VARCHAR(9)) WHEN 4 THEN concat(CAST(c % 900 AS VARCHAR(9)), ',50') ELSE concat(CAST(c AS VARCHAR(9)), ',00') END END
+    WHEN 1 THEN CASE WHEN col > 0 THEN '' WHEN r % 3 = 0 THEN concat('Общество ведет учет по правилам, которые приняты на весь год и хранятся ', CAST(k AS VARCHAR(9)), ' дней.') ELSE 'Сведения о порядке учета раскрыты в пояснениях, приложенных к отчету, и верны;' END
+    WHEN 2 THEN CASE WHEN r = 0 AND col = 0 THEN 'Унифицированная форма № ТОРГ-12' WHEN r = 1 AND col = 0 THEN 'Грузополучатель' WHEN r = 1 AND col = 1 THEN 'ООО «Альфа», г. Москва' WHEN col = 0 THEN 'По доверенности' WHEN col = 2 AND k % 2 = 0 THEN CAST(k AS VARCHAR(9)) WHEN col = 4 AND k % 5 = 0 THEN 'подпись' ELSE '' END
+    WHEN 3 THEN CASE WHEN r = 0 THEN CASE col WHEN 0 THEN 'Код' WHEN 1 THEN 'Наименование работ' WHEN 2 THEN 'Ед. изм.' WHEN 3 THEN 'Кол-во' WHEN 4 THEN 'Примечание' ELSE '' END
+      ELSE CASE col WHEN 0 THEN CAST(k % 90 AS VARCHAR(9)) WHEN 1 THEN concat('Монтаж узла трубы ', CAST(k AS VARCHAR(9))) WHEN 2 THEN 'м' WHEN 3 THEN CAST(q AS VARCHAR(9)) WHEN 4 THEN CASE WHEN k % 4 = 0 THEN 'нет' ELSE concat(CAST(c AS VARCHAR(9)), ',10') END ELSE '' END END
+    WHEN 4 THEN CASE WHEN col = 0 THEN concat('• пункт ', CAST(r AS VARCHAR(9)), ' списка') WHEN col = 1 AND k % 3 = 0 THEN 'см. приложение' ELSE '' END
+    WHEN 5 THEN CASE WHEN col = 0 THEN concat('Организация обязуется передать товар, указанный в заказе ', CAST(k AS VARCHAR(9)), ',') WHEN col = 1 THEN 'а заказчик обязуется принять его и уплатить 10 тыс. руб. в срок.' WHEN col = 2 AND k % 4 = 0 THEN 'Страница 3' ELSE '' END
+    WHEN 6 THEN CASE WHEN r = 0 THEN CASE WHEN col = 0 THEN 'Организация ООО «Альфа», ИНН 7701000000, вид деятельности по ОКВЭД, единица измерения тыс. руб.' ELSE '' END WHEN r = 1 THEN CASE WHEN col = 0 THEN 'ОТЧЕТ О ДВИЖЕНИИ СРЕДСТВ' ELSE '' END
+      ELSE CASE col WHEN 0 THEN CASE WHEN k % 3 = 0 THEN 'Запасы' ELSE concat('Основные средства ', CAST(k % 9 AS VARCHAR(9))) END WHEN 1 THEN CAST(1100 + k % 800 AS VARCHAR(9)) WHEN 2 THEN CAST(c AS VARCHAR(9)) WHEN 3 THEN CASE WHEN k % 5 = 0 THEN 'Х' ELSE concat('(', CAST(q AS VARCHAR(9)), '00)') END ELSE '' END END
+    ELSE CASE WHEN r = 0 THEN CASE col WHEN 0 THEN 'Договор' WHEN 1 THEN 'Дата оплаты' WHEN 2 THEN 'Сумма оплаты' ELSE '' END
+      ELSE CASE col WHEN 0 THEN concat('ООО «Альфа ', CAST(k AS VARCHAR(9)), '»') WHEN 1 THEN concat('0', CAST(1 + k % 9 AS VARCHAR(9)), '.0', CAST(1 + q % 9 AS VARCHAR(9)), '.2024') WHEN 2 THEN concat(CAST(c AS VARCHAR(9)), ',00') ELSE '' END END
+  END AS text, 1 AS rowspan, CASE WHEN kind = 2 AND col = 0 AND (r < 2 OR k % 3 = 0) THEN 3 WHEN kind = 6 AND r = 0 AND col = 0 THEN 2 ELSE 1 END AS colspan, (kind = 2 AND col IN (1, 2) AND (r = 0 OR (r > 1 AND k % 3 = 0))) OR (kind = 6 AND r = 0 AND col = 1) AS covered
+FROM fb CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5)) AS cc(col)
+"""
+#: The words of those cells: 15 points apart, 200 a column, 12 a row.
+FORM_WORDS = """
+SELECT table_key, row AS line, CAST(col * 100 + place AS BIGINT) AS word_id, text, col * 200.0 + place * 15.0 AS x0, col * 200.0 + place * 15.0 + 12.0 AS x1, row * 12.0 AS top, row * 12.0 + 10.0 AS bottom FROM {words} WHERE text <> ''
+"""
 TABLES = ("lineitem", "orders", "events", "documents", "pages", "customer", "part", "supplier", "nation", "region", "conversations")
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
-    for t in ("lineitem", "orders", "events", "documents", "pages"):
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+SOURCES = re.compile(r"\b(FROM|JOIN) (lineitem|orders|events|documents|pages|customer|part|conversations)\b")
+
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    views(spark, sf_dir)
-    return spark.sql(sql)
+
+def relation(spark: SparkSession, sf_dir: str, sql: str, **more: DataFrame) -> DataFrame:
+    """A query over the folder's tables, and over relations given by name as ``{name}``; no view of the session is touched."""
+    names = {m[2] for m in SOURCES.finditer(sql)}
+    return spark.sql(SOURCES.sub(r"\1 {\2}", sql), **{n: table(spark, sf_dir, n) for n in names}, **more)
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +128,15 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def form_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relation(spark, sf_dir, f"WITH {FORM_BASE} {FORM_CELLS}")
+
+
+def form_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = form_cells(spark, sf_dir).selectExpr("table_key", "row", "col", "posexplode(split(text, ' ')) AS (place, text)")
+    return relation(spark, sf_dir, FORM_WORDS, words=words)
+
+
 WORDS_SQL = """
 l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
 w0 AS (SELECT doc_id, source, line_no, unnest(string_split(line, ' ')) AS text, generate_subscripts(string_split(line, ' '), 1) - 1 AS word_no FROM l),
@@ -103,3 +147,5 @@ CELLS_SQL = f"{BASE}, cells AS ({CELLS})"
 POINTS_SQL = f"words AS ({POINTS})"
 BOXES_SQL = f"boxes AS ({BOXES})"
 PAGES_SQL = f"pg AS ({PAGES})"
+FORMS_SQL = f"{FORM_BASE}, forms AS ({FORM_CELLS})"
+FORM_WORDS_SQL = f"{FORMS_SQL}, fw AS (SELECT table_key, row, col, unnest(string_split(text, ' ')) AS text, generate_subscripts(string_split(text, ' '), 1) - 1 AS place FROM forms), words AS ({FORM_WORDS.format(words='fw')})"

@@ -77,8 +77,7 @@ def numeric_text_cases(spark, sf_dir):
 
 @query("SELECT o_orderkey, replace(format('{:,}', CAST(floor(o_totalprice) AS BIGINT)), ',', ' ') AS grouped FROM orders")
 def format_thousands(spark, sf_dir):
-    A.views(spark, sf_dir)
-    return spark.table("orders").select("o_orderkey", T.format_thousands(F.floor("o_totalprice").cast("string")).alias("grouped"))
+    return A.table(spark, sf_dir, "orders").select("o_orderkey", T.format_thousands(F.floor("o_totalprice").cast("string")).alias("grouped"))
 
 
 _PLAIN = "replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
@@ -86,8 +85,7 @@ _PLAIN = "replace(replace(replace(replace(replace(regexp_replace(regexp_replace(
 
 @query(f"SELECT page_id, trim(regexp_replace({_PLAIN}, '[\\s\\x{{a0}}\\x{{85}}\\x{{2028}}\\x{{2029}}]+', ' ', 'g')) AS plain FROM pages")
 def html_plain_text(spark, sf_dir):
-    A.views(spark, sf_dir)
-    return spark.table("pages").select("page_id", T.plain_text(F.col("html")).alias("plain"))
+    return A.table(spark, sf_dir, "pages").select("page_id", T.plain_text(F.col("html")).alias("plain"))
 
 
 _LINES = "replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?i)<br\\s*/?>|</(p|tr|div|li|h[1-6])>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
@@ -95,8 +93,7 @@ _LINES = "replace(replace(replace(replace(replace(regexp_replace(regexp_replace(
 
 @query(f"SELECT page_id, list_filter(list_transform(string_split({_LINES}, chr(10)), lambda x: trim(regexp_replace(x, '[\\s\\x{{a0}}]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM pages")
 def html_lines(spark, sf_dir):
-    A.views(spark, sf_dir)
-    return spark.table("pages").select("page_id", T.html_lines(F.col("html")).alias("lines"))
+    return A.table(spark, sf_dir, "pages").select("page_id", T.html_lines(F.col("html")).alias("lines"))
 
 
 @query(f"""WITH {A.POINTS_SQL} SELECT word_id, regexp_replace(fontname, '^[A-Z]{{6}}\\+', '') AS font, regexp_matches(fontname, '(?i)bold|black|heavy|semibold|demi') AS bold, regexp_matches(fontname, '(?i)italic|oblique') AS italic,
@@ -127,17 +124,15 @@ def word_lines(spark, sf_dir):
 s AS (SELECT doc_id, line_no, count(*) AS words, 1 + CAST(coalesce(sum(CASE WHEN jump THEN 1 ELSE 0 END), 0) AS BIGINT) AS clusters, avg(CASE WHEN regexp_matches(text, '\\d') THEN 1.0 ELSE 0.0 END) AS digit_share, string_agg(text, ' ' ORDER BY word_id) AS line FROM c GROUP BY doc_id, line_no)
 SELECT doc_id, line_no, words, clusters, digit_share, regexp_matches(line, '^[\\p{{Lu}}«"'']') AS capital, length(line) >= 55 OR length(line) - length(replace(line, ',', '')) >= 2 AS prose FROM s""")
 def line_stats(spark, sf_dir):
-    words = A.words(spark, sf_dir)
     keys = ["doc_id", "line_no"]
-    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_id", "text"))), lambda x: x["text"]), " ")
-    text = words.groupBy(*keys).agg(F.count("*").alias("words"), F.avg(F.when(F.col("text").rlike(r"\d"), 1.0).otherwise(0.0)).alias("digit_share"), line.alias("line"))
+    text = A.words(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("words"), N.clusters_of().alias("clusters"), F.avg(F.when(F.col("text").rlike(r"\d"), 1.0).otherwise(0.0)).alias("digit_share"), N.line_text().alias("line"))
     prose = (F.length("line") >= 55) | (F.length("line") - F.length(F.translate("line", ",", "")) >= 2)
-    return text.join(N.x_clusters(words, keys), keys).select(*keys, "words", "clusters", "digit_share", T.starts_capital(F.col("line")).alias("capital"), prose.alias("prose"))
+    return text.select(*keys, "words", "clusters", "digit_share", T.starts_capital(F.col("line")).alias("capital"), prose.alias("prose"))
 
 
-_DIGITS = f"""WITH {A.POINTS_SQL}, d AS (SELECT page, word_id, CAST(word_id % 10 AS VARCHAR) AS text, x0, x1, top, bottom, size FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY word_id) AS n FROM words) WHERE n <= 400),
+_DIGITS = f"""WITH {A.POINTS_SQL}, d AS (SELECT page, word_id, CAST(word_id % 10 AS VARCHAR) AS text, x0, x1, top, bottom, size FROM words),
 e AS (SELECT page, word_id, CASE WHEN word_id % 7 = 0 THEN 'x' ELSE text END AS text, CAST(word_id % 50 AS DOUBLE) * 8 AS x0, CAST(word_id % 50 AS DOUBLE) * 8 + 5 AS x1, CAST(floor(word_id / 50) % 20 AS DOUBLE) * 12 AS top, size FROM d)"""
-_DIGIT_ROWS = "SELECT page, word_id, CASE WHEN word_id % 7 = 0 THEN 'x' ELSE CAST(word_id % 10 AS STRING) END AS text, CAST(word_id % 50 AS DOUBLE) * 8 AS x0, CAST(word_id % 50 AS DOUBLE) * 8 + 5 AS x1, CAST(floor(word_id / 50) % 20 AS DOUBLE) * 12 AS top, CAST(floor(word_id / 50) % 20 AS DOUBLE) * 12 + 10 AS bottom, size FROM v"
+_DIGIT_ROWS = "SELECT page, word_id, CASE WHEN word_id % 7 = 0 THEN 'x' ELSE CAST(word_id % 10 AS STRING) END AS text, CAST(word_id % 50 AS DOUBLE) * 8 AS x0, CAST(word_id % 50 AS DOUBLE) * 8 + 5 AS x1, CAST(floor(word_id / 50) % 20 AS DOUBLE) * 12 AS top, CAST(floor(word_id / 50) % 20 AS DOUBLE) * 12 + 10 AS bottom, size FROM {v}"
 
 
 @query(f"""{_DIGITS}, o AS (SELECT *, lag(text) OVER w AS pt, lag(x1) OVER w AS px, lag(size) OVER w AS ps, lag(top) OVER w AS pp FROM e WINDOW w AS (PARTITION BY page ORDER BY round_even(top, 0), x0, word_id)),
@@ -145,8 +140,7 @@ r AS (SELECT *, sum(CASE WHEN regexp_full_match(text, '\\d') AND regexp_full_mat
 n AS (SELECT *, count(*) OVER (PARTITION BY page, run) AS c FROM r)
 SELECT page, min(word_id) AS word_id, string_agg(text, '' ORDER BY x0, word_id) AS text, min(x0) AS x0, max(x1) AS x1 FROM n GROUP BY page, run, CASE WHEN c >= 4 AND regexp_full_match(text, '\\d') THEN -1 ELSE word_id END""")
 def split_digit_merge(spark, sf_dir):
-    A.points(spark, sf_dir).createOrReplaceTempView("v")
-    return N.merge_split_digits(spark.sql(_DIGIT_ROWS), ["page"]).select("page", "word_id", "text", "x0", "x1")
+    return N.merge_split_digits(A.relation(spark, sf_dir, _DIGIT_ROWS, v=A.points(spark, sf_dir)), ["page"]).select("page", "word_id", "text", "x0", "x1")
 
 
 @query(f"""WITH {A.POINTS_SQL}, a AS (SELECT *, max(bottom) OVER (PARTITION BY page ORDER BY top, word_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM words)
@@ -189,13 +183,17 @@ def row_signals(spark, sf_dir):
     return G.row_signals(A.cells(spark, sf_dir), KEY).select("table_key", "row", "filled", "numbers", "texts", "sentences", "numeric_ratio", "tabular")
 
 
-@query(f"""{_SIGNALS}, f AS (SELECT *, min(CASE WHEN tabular OR (filled >= 4 AND numeric_ratio < 0.15 AND texts >= 4 AND sentences >= 2) OR NOT (numeric_ratio < 0.3 AND filled >= 1) THEN row END) OVER (PARTITION BY table_key) AS first FROM sig)
+#: The same over the tables of forms, where both outcomes occur.
+_FORM_SIGNALS = _SIGNALS.replace(A.CELLS_SQL, f"{A.FORM_BASE}, cells AS ({A.FORM_CELLS})")
+
+
+@query(f"""{_FORM_SIGNALS}, f AS (SELECT *, min(CASE WHEN tabular OR (filled >= 4 AND numeric_ratio < 0.15 AND texts >= 4 AND sentences >= 2) OR NOT (numeric_ratio < 0.3 AND filled >= 1) THEN row END) OVER (PARTITION BY table_key) AS first FROM sig)
 SELECT table_key, row, CASE WHEN row < coalesce(first, 2147483647) AND row < 6 THEN 'HEADER' ELSE 'DATA' END AS kind FROM f""")
 def header_rows(spark, sf_dir):
-    return N.header_rows(G.row_signals(A.cells(spark, sf_dir), KEY), KEY).select("table_key", "row", "kind")
+    return N.header_rows(G.row_signals(A.form_cells(spark, sf_dir).repartition(*KEY), KEY), KEY).select("table_key", "row", "kind")
 
 
-@query(f"""{_SIGNALS}, t AS (SELECT table_key, count(*) AS n_rows, max(width) AS n_cols, CAST(sum(filled) AS BIGINT) AS filled, CAST(sum(numbers) AS BIGINT) AS numbers, count(*) FILTER (filled = 1) AS blobs, count(*) FILTER (lab AND num_right) AS tab, count(*) FILTER (bullet) AS bullets,
+@query(f"""{_FORM_SIGNALS}, t AS (SELECT table_key, count(*) AS n_rows, max(width) AS n_cols, CAST(sum(filled) AS BIGINT) AS filled, CAST(sum(numbers) AS BIGINT) AS numbers, count(*) FILTER (filled = 1) AS blobs, count(*) FILTER (lab AND num_right) AS tab, count(*) FILTER (bullet) AS bullets,
   count(*) FILTER (filled >= 2 AND NOT num_right) AS text_rows, count(*) FILTER (filled = 1 AND coalesce(head_chars, 0) >= 55) AS long_rows, sum(chars) AS chars FROM sig GROUP BY table_key),
 r AS (SELECT *, blobs / n_rows AS blob, numbers / filled AS num FROM t)
 SELECT table_key, n_rows, n_cols, filled, CASE WHEN filled = 0 THEN FALSE WHEN tab >= 4 THEN FALSE WHEN bullets >= 2 AND num < 0.22 THEN TRUE WHEN tab < 2 AND text_rows >= greatest(4, floor(n_rows / 3)) AND num < 0.22 THEN TRUE
@@ -203,8 +201,7 @@ SELECT table_key, n_rows, n_cols, filled, CASE WHEN filled = 0 THEN FALSE WHEN t
   WHEN blob >= 0.8 AND num < 0.12 AND n_rows >= 3 THEN TRUE WHEN blob >= 0.7 AND num < 0.18 AND n_rows >= 4 THEN TRUE WHEN long_rows >= 4 AND num < 0.24 THEN TRUE
   WHEN n_cols >= 4 AND blob >= 0.48 AND num < 0.22 AND n_rows >= 8 AND chars / filled >= 32 THEN TRUE ELSE FALSE END AS prose FROM r""")
 def prose_tables(spark, sf_dir):
-    """Narrowed to the first column in odd tables, so that some are prose."""
-    return G.prose_tables(A.cells(spark, sf_dir), KEY).select("table_key", "n_rows", "n_cols", "filled", "prose")
+    return G.prose_tables(A.form_cells(spark, sf_dir), KEY).select("table_key", "n_rows", "n_cols", "filled", "prose")
 
 
 @query(f"""{_SIGNALS}, p AS (SELECT *, filled <= 3 AS is_prose FROM sig), a AS (SELECT *, CASE WHEN is_prose IS DISTINCT FROM lag(is_prose) OVER (PARTITION BY table_key ORDER BY row) THEN 1 ELSE 0 END AS s FROM p),
@@ -304,8 +301,7 @@ _MERGES = "SELECT DISTINCT table_key, 0 AS r0, CAST(table_key % 3 AS INT) AS c0,
   r0 IS NOT NULL AND NOT (row = r0 AND col = c0) AS covered FROM cells c LEFT JOIN m ON c.table_key = m.table_key AND row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1""")
 def merge_expand(spark, sf_dir):
     cells = A.cells(spark, sf_dir)
-    cells.createOrReplaceTempView("cells")
-    merges = spark.sql(_MERGES)
+    merges = A.relation(spark, sf_dir, _MERGES.replace("FROM cells", "FROM {cells}"), cells=cells)
     return J.expand_merges(cells.select("table_key", "row", "col"), merges, KEY)
 
 
@@ -368,8 +364,7 @@ _INDEX = "SELECT table_key, row, col, CASE WHEN row = table_key % 3 THEN CASE WH
 @query(f"""WITH {A.CELLS_SQL}, x AS ({_INDEX}) SELECT table_key, row, coalesce(count(*) FILTER ({SEE} AND NOT text IN ('А', 'A')) >= 6 AND
   list(trim(text) ORDER BY col) FILTER ({SEE} AND NOT text IN ('А', 'A')) = list_transform(range(1, count(*) FILTER ({SEE} AND NOT text IN ('А', 'A')) + 1), lambda i: CAST(i AS VARCHAR)), FALSE) AS index_header FROM x GROUP BY table_key, row""")
 def index_header(spark, sf_dir):
-    A.cells(spark, sf_dir).createOrReplaceTempView("cells")
-    return G.index_header(spark.sql(_INDEX), KEY)
+    return G.index_header(A.relation(spark, sf_dir, _INDEX.replace("FROM cells", "FROM {cells}"), cells=A.cells(spark, sf_dir)), KEY)
 
 
 @query(f"""WITH {A.CELLS_SQL}, p AS (SELECT a.table_key, a.col AS boundary, b.x0 + 5 - (a.x0 + 5 * length(a.text)) AS gap, {numeric('a.text')} AND {numeric('b.text')} AS keep FROM cells a JOIN cells b ON a.table_key = b.table_key AND a.row = b.row AND b.col = a.col + 1)
@@ -478,14 +473,14 @@ def letter_shares(spark, sf_dir):
     A.views(spark, sf_dir)
     n = K.letter_counts(F.col("text"))
     latin = (F.col("n_chars") >= 50) & (n["letters"] >= 80) & (n["latin"] >= 0.55 * n["letters"]) & (n["cyrillic"] <= 0.2 * n["letters"])
-    return spark.table("documents").select("doc_id", *[n[k].alias(k) for k in ("letters", "latin", "cyrillic")], latin.alias("latin_page"))
+    return A.table(spark, sf_dir, "documents").select("doc_id", *[n[k].alias(k) for k in ("letters", "latin", "cyrillic")], latin.alias("latin_page"))
 
 
 @query()
 def broken_fonts(spark, sf_dir):
     """Pages whose text doesn't mean what it shows; tested on literal cases."""
     A.views(spark, sf_dir)
-    docs = spark.table("documents").withColumns({"n_ocr_chars": F.when(F.col("doc_id") % 11 == 0, 25).otherwise(0), "cover": F.lit(0.0)})
+    docs = A.table(spark, sf_dir, "documents").withColumns({"n_ocr_chars": F.when(F.col("doc_id") % 11 == 0, 25).otherwise(0), "cover": F.lit(0.0)})
     return K.precheck(docs).select("doc_id", "suitable", "reasons")
 
 
@@ -493,7 +488,7 @@ def broken_fonts(spark, sf_dir):
 def image_scans(spark, sf_dir):
     A.views(spark, sf_dir)
     how = C.Suitability(scan_chars=200)
-    return spark.table("documents").select("doc_id", K.image_scan(F.col("text"), F.col("n_chars"), K.image_cover(F.col("doc_id") % 10, F.lit(10.0)), how).alias("scan"))
+    return A.table(spark, sf_dir, "documents").select("doc_id", K.image_scan(F.col("text"), F.col("n_chars"), K.image_cover(F.col("doc_id") % 10, F.lit(10.0)), how).alias("scan"))
 
 
 @query(f"""{_STATS}, p AS (SELECT *, doc_type IN ('unknown') AS large, doc_type IN ('rsbu', 'ks2', 'ks3', 'unknown') AS spans, doc_type IN ('ks2', 'ks3') AS keep, table_key % 2 = 0 AS raster, table_key % 3 = 0 AS items FROM sp)
@@ -509,8 +504,7 @@ _UNITS = "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_cus
 
 
 def _units(spark, sf_dir):
-    spark.read.parquet(f"{sf_dir}/customer.parquet").createOrReplaceTempView("customer")
-    return K.office_checks(spark.sql(_UNITS))
+    return K.office_checks(A.relation(spark, sf_dir, _UNITS))
 
 
 _UNIT_SQL = f"""WITH u AS ({_UNITS}), r AS (SELECT *, list_filter([
@@ -540,19 +534,22 @@ def suitability_report(spark, sf_dir):
     return K.report(_units(spark, sf_dir))
 
 
-_FIELDS = "(VALUES (1, '(1) 15 (2) ООО Альфа (2а) Москва (2б) 7701/77'), (2, '(1) 15 (2) ООО Бета'), (3, 'no fields')) AS t(id, text)"
+_INVOICES = """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN concat('(1) ', CAST(o_orderkey AS VARCHAR(12)), ' (2) ООО Альфа  ', CAST(o_custkey AS VARCHAR(12)), ' (2а) Москва (2б) 7701/77')
+  WHEN o_orderkey % 3 = 1 THEN concat('(1) ', CAST(o_orderkey AS VARCHAR(12)), ' (2) ООО Бета') ELSE concat(o_orderpriority, ' Итого 34 Х ', CAST(o_orderkey % 900 AS VARCHAR(9)), ',00 Х 16 996,00 111 419,00') END AS text FROM orders"""
 
 
-@query("SELECT * FROM (VALUES (1, 0, '1', 'Номер и дата счёта-фактуры', '15'), (1, 1, '2', 'Продавец', 'ООО Альфа'), (1, 2, '2а', 'Адрес продавца', 'Москва'), (1, 3, '2б', 'ИНН/КПП продавца', '7701/77')) AS t(id, seq, code, label, value)")
+@query("""SELECT o_orderkey AS id, CAST(seq AS INTEGER) AS seq, code, label, replace(replace(value, '$1', CAST(o_orderkey AS VARCHAR)), '$2', CAST(o_custkey AS VARCHAR)) AS value
+FROM orders, (VALUES (0, '1', 'Номер и дата счёта-фактуры', '$1'), (1, '2', 'Продавец', 'ООО Альфа $2'), (2, '2а', 'Адрес продавца', 'Москва'), (3, '2б', 'ИНН/КПП продавца', '7701/77')) AS t(seq, code, label, value) WHERE o_orderkey % 3 = 0""")
 def invoice_fields(spark, sf_dir):
-    """A literal case: the SQL side holds the expected rows."""
-    return FO.invoice_fields(spark.sql(f"SELECT * FROM {_FIELDS}"), ["id"])
+    """Orders as texts of invoices; those with two fields give none."""
+    return FO.invoice_fields(A.relation(spark, sf_dir, _INVOICES), ["id"])
 
 
-@query("SELECT * FROM (VALUES (1, 0, 'Количество мест', '34'), (1, 1, 'Количество (масса)', 'Х'), (1, 2, 'Сумма без НДС', '94 422,00'), (1, 3, 'Ставка НДС', 'Х'), (1, 4, 'Сумма НДС', '16 996,00'), (1, 5, 'Сумма с НДС', '111 419,00')) AS t(id, seq, label, value)")
+@query("""SELECT o_orderkey AS id, CAST(seq AS INTEGER) AS seq, label, replace(value, '$1', CAST(o_orderkey % 900 AS VARCHAR)) AS value
+FROM orders, (VALUES (0, 'Количество мест', '34'), (1, 'Количество (масса)', 'Х'), (2, 'Сумма без НДС', '$1,00'), (3, 'Ставка НДС', 'Х'), (4, 'Сумма НДС', '16 996,00'), (5, 'Сумма с НДС', '111 419,00')) AS t(seq, label, value) WHERE o_orderkey % 3 = 2""")
 def torg_totals(spark, sf_dir):
-    """A literal case: the SQL side holds the expected rows."""
-    return FO.torg_totals(spark.createDataFrame([(1, "Итого 34 Х 94 422,00 Х 16 996,00 111 419,00"), (2, "Итого 12")], "id int, text string"), ["id"])
+    """Orders as texts of delivery notes; other texts have no totals."""
+    return FO.torg_totals(A.relation(spark, sf_dir, _INVOICES), ["id"])
 
 
 @query(f"WITH {A.BOXES_SQL} SELECT page, table_id, (bx1 - bx0) * (bbottom - btop) AS area, row_number() OVER (PARTITION BY page ORDER BY round_even(btop / 4, 0) * 4, round_even(bx0, 0), table_id) AS place FROM boxes")
@@ -601,15 +598,17 @@ def type_heuristics(spark, sf_dir):
     return FO.default_heuristics().apply(cells, KEY)
 
 
-@query(f"""WITH {A.CELLS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{1,3}}\\.?') AND col = 0) AND bool_or({SEE} AND col > 0 AND {LETTER} AND length(trim(text)) >= 4) AND bool_or({SEE} AND col > 1 AND {numeric('text')}) AS item FROM cells WHERE {SEE} GROUP BY table_key, row)
-SELECT table_key, CAST(sum(CASE WHEN item THEN 1 ELSE 0 END) AS BIGINT) AS items, FALSE AS by_index, sum(CASE WHEN item THEN 1 ELSE 0 END) >= 3 AS line_items FROM r GROUP BY table_key""")
+@query(f"""WITH {A.FORMS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{1,3}}\\.?') AND col = 0) AND bool_or({SEE} AND col > 0 AND {LETTER} AND length(trim(text)) >= 4) AND bool_or({SEE} AND col > 1 AND {numeric('text')}) AS item FROM forms WHERE {SEE} GROUP BY table_key, row),
+x AS (SELECT table_key, bool_or(t = list_transform(range(1, len(t) + 1), lambda i: CAST(i AS VARCHAR)) AND len(t) >= 6) AS by_index FROM (SELECT table_key, row, list(trim(text) ORDER BY col) FILTER ({SEE} AND NOT text IN ('А', 'A')) AS t FROM forms WHERE row < 6 GROUP BY table_key, row) GROUP BY table_key)
+SELECT table_key, CAST(sum(CASE WHEN item THEN 1 ELSE 0 END) AS BIGINT) AS items, coalesce(any_value(by_index), FALSE) AS by_index, coalesce(any_value(by_index), FALSE) OR sum(CASE WHEN item THEN 1 ELSE 0 END) >= 3 AS line_items FROM r LEFT JOIN x USING (table_key) GROUP BY table_key""")
 def line_item_tables(spark, sf_dir):
-    return G.line_item_table(A.cells(spark, sf_dir), KEY)
+    return G.line_item_table(A.form_cells(spark, sf_dir), KEY)
 
 
-@query(f"WITH {A.CELLS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND {LETTER}) AS l, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{2,10}}')) AS c, count(*) AS w FROM cells WHERE col < 2 GROUP BY table_key, row) SELECT table_key, count(*) >= 3 AND max(w) <= 4 AND count(*) FILTER (l AND c) >= 3 AS code_stack FROM r GROUP BY table_key")
+@query(f"WITH {A.FORMS_SQL}, r AS (SELECT table_key, row, bool_or({SEE} AND {LETTER}) AS l, bool_or({SEE} AND regexp_full_match(trim(text), '\\d{{2,10}}')) AS c, count(*) AS w FROM forms WHERE kind % 2 = 0 OR col < 3 GROUP BY table_key, row) SELECT table_key, count(*) >= 3 AND max(w) <= 4 AND count(*) FILTER (l AND c) >= 3 AS code_stack FROM r GROUP BY table_key")
 def code_stacks(spark, sf_dir):
-    return G.code_stack(A.cells(spark, sf_dir).where("col < 2"), KEY)
+    """All tables of forms; those of odd kinds have three columns."""
+    return G.code_stack(A.form_cells(spark, sf_dir).where("kind % 2 = 0 OR col < 3"), KEY)
 
 
 @query(f"""WITH {A.CELLS_SQL}, c AS (SELECT table_key, row, col, trim(text) AS t, {SEE} AS see FROM cells), h AS (SELECT table_key, col, count(*) AS n FROM cells WHERE NOT covered AND regexp_full_match(text, '\\d{{4}}') GROUP BY table_key, col),
@@ -627,9 +626,10 @@ def prose_lines(spark, sf_dir):
     return c.select("c_custkey", R.prose_line(parts).alias("line"))
 
 
-@query(f"""WITH {A.POINTS_SQL}, m AS (SELECT *, avg(1.0) OVER () AS one FROM words WHERE fontname = 'Times') SELECT fontname AS source, count(*) AS pages, avg(size) AS mean_seconds FROM words GROUP BY fontname""")
+@query("SELECT CASE l_suppkey % 4 WHEN 0 THEN 'lines' WHEN 1 THEN 'camelot' WHEN 2 THEN 'text' ELSE 'none' END AS source, count(*) AS pages, avg(l_quantity) AS mean_seconds FROM lineitem GROUP BY 1")
 def source_stats(spark, sf_dir):
-    return K.source_stats(A.points(spark, sf_dir).select(F.col("fontname").alias("source"), F.col("size").alias("seconds")))
+    source = "CASE l_suppkey % 4 WHEN 0 THEN 'lines' WHEN 1 THEN 'camelot' WHEN 2 THEN 'text' ELSE 'none' END AS source"
+    return K.source_stats(A.table(spark, sf_dir, "lineitem").selectExpr(source, "l_quantity AS seconds"))
 
 
 @query()
@@ -638,7 +638,7 @@ def page_documents(spark, sf_dir):
     from .. import pipeline as P
 
     words = A.words(spark, sf_dir).select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("unit"), "word_id", "text", "x0", "x1", "top", "bottom", "size")
-    pages = spark.table("documents").select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("unit"), "text", "n_chars", F.lit(0).alias("n_ocr_chars"), F.lit(0.0).alias("cover"))
+    pages = A.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.lit(1).alias("unit"), "text", "n_chars", F.lit(0).alias("n_ocr_chars"), F.lit(0.0).alias("cover"))
     return P.pages_to_documents(pages, words)[0]
 
 
