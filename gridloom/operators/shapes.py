@@ -157,8 +157,9 @@ def product_row(texts: Column, joined: Column, colspan: Column) -> Column:
 
 
 # ---- tables ----
-def row_shapes(rows: DataFrame, tabular: Column = F.lit(False)) -> DataFrame:
-    """rows with every row test as a column."""
+def row_shapes(rows: DataFrame, tabular: Column | None = None) -> DataFrame:
+    """rows with every row test as a column; tabular: whether a row looks like data, false if not given."""
+    tabular = F.lit(False) if tabular is None else tabular
     t, j, c = F.col("texts"), F.col("joined"), F.col("max_colspan")
     return rows.withColumns({
         "section_title": section_title_row(t, j, tabular), "intro": intro_row(t), "line_code": line_code_row(t), "company": company_row(t, j), "header": header_row(t), "prose": prose_row(t, j, tabular),

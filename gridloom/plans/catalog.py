@@ -528,10 +528,13 @@ def reason_counts(spark, sf_dir):
     return K.reason_counts(_units(spark, sf_dir))
 
 
-@query()
+@query(f"""{_UNIT_SQL}, t AS (SELECT count(*) AS n, count(*) FILTER (len(reasons) = 0) AS ok, count(*) FILTER (len(reasons) > 0) AS bad FROM r), e AS (SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM r) GROUP BY reason)
+SELECT 0 AS part, '' AS place, printf('total %d accepted %d rejected %d', n, ok, bad) AS line FROM t UNION ALL SELECT 1, lpad(CAST(1000000000000000 - n AS VARCHAR), 16, '0') || ' ' || reason, reason || ': ' || n FROM e
+UNION ALL SELECT 2, file, printf('%s: %d accepted, %d rejected', file, count(*) FILTER (len(reasons) = 0), count(*) FILTER (len(reasons) > 0)) FROM r GROUP BY file
+UNION ALL SELECT 3, file || ' ' || lpad(CAST(id AS VARCHAR), 12, '0'), file || ' ' || id || ': ' || array_to_string(reasons, ', ') FROM r WHERE len(reasons) > 0 AND (SELECT bad FROM t) <= 1000""")
 def suitability_report(spark, sf_dir):
-    """The report's lines in order."""
-    return K.report(_units(spark, sf_dir))
+    """The report's lines; details where a thousand units at most are rejected."""
+    return K.report(_units(spark, sf_dir), 1000)
 
 
 _INVOICES = """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN concat('(1) ', CAST(o_orderkey AS VARCHAR(12)), ' (2) ООО Альфа  ', CAST(o_custkey AS VARCHAR(12)), ' (2а) Москва (2б) 7701/77')

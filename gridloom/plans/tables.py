@@ -8,8 +8,9 @@ from .. import config as C
 from ..operators import lines as L
 from ..operators import pages as P
 from ..operators import shapes as S
+from ..operators import statements as ST
 from . import adapters as A
-from .catalog import KEY, SEE, numeric, query, value
+from .catalog import KEY, SEE, SQL, numeric, query, value
 
 
 def has(text: str, pattern: str) -> str:
@@ -261,3 +262,134 @@ def page_order(spark, sf_dir):
     tables = cells.where("col = 0 AND row % 2 = 0").select("table_key", F.lit("table").alias("kind"), (F.col("row") * F.lit(9.0)).alias("top"), F.lit(5.0).alias("x0"), F.concat(F.lit("t"), F.col("row").cast("string")).alias("html"))
     texts = cells.where("row % 2 = 1 AND col < 3").select("table_key", F.lit("text").alias("kind"), (F.col("row") * F.lit(9.0) + 1).alias("top"), (F.col("col") * F.lit(3.0)).alias("x0"), F.concat(F.lit("w"), F.col("col").cast("string")).alias("html"))
     return P.page_elements(tables, texts, keys=KEY).select("table_key", "kind", "html", "top", "place")
+
+
+# ---- blocks of large grids ----
+_SPLIT = "SELECT table_key, CAST(CASE WHEN count(*) > 5 AND table_key % 3 > 0 THEN 4 END AS INT) AS split_row FROM {src} GROUP BY table_key"
+_TITLED = "CASE WHEN row = 3 AND table_key % 2 = 0 THEN concat(j, ' 2.1. Наличие и движение запасов') ELSE j END"
+
+
+@query(f"""{_ROWS}, sp AS ({_SPLIT.format(src="fj")}), x AS (SELECT table_key, row, t, n, {_TITLED} AS j, split_row, CASE WHEN row = split_row - 1 THEN regexp_extract({_TITLED}, '(\\d+\\.\\d+(?:\\.\\d+)?\\.?\\s+\\p{{Lu}}[^.]{{4,119}})', 1) ELSE '' END AS title FROM fj LEFT JOIN sp USING (table_key)),
+y AS (SELECT *, row = 0 AND n = 1 AND length(t[1]) >= 80 AND ({" OR ".join(f"contains(t[1], '{m}')" for m in C.INTRO_MARKERS)}) AS intro FROM x)
+SELECT table_key, CASE WHEN intro THEN 0 WHEN coalesce(row >= split_row, FALSE) THEN 3 ELSE 1 END AS block, CASE WHEN intro THEN 'prose' ELSE 'table' END AS kind, row, CASE WHEN title <> '' THEN trim(replace(j, title, '')) ELSE j END AS joined FROM y
+UNION ALL SELECT table_key, 2, 'prose', row, title FROM y WHERE title <> ''""")
+def statement_blocks(spark, sf_dir):
+    """Statements cut at their second table; some rows end in a section's title."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY)
+    rows = rows.withColumn("joined", F.when((F.col("row") == 3) & (F.col("table_key") % 2 == 0), F.concat("joined", F.lit(" 2.1. Наличие и движение запасов"))).otherwise(F.col("joined")))
+    splits = rows.groupBy("table_key").agg(F.count("*").alias("n")).select("table_key", F.when((F.col("n") > 5) & (F.col("table_key") % 3 > 0), 4).alias("split_row"))
+    return ST.split_statement(rows, splits, KEY)
+
+
+_SCORES = "SELECT table_key, row, CAST(CASE WHEN (table_key + row * row) % 5 < 2 THEN 2.0 WHEN (table_key + row) % 4 = 0 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score, (table_key + row * 3) % 7 < 3 AS bordered, j AS joined FROM {src}"
+
+
+@query(f"""{_ROWS}, r AS ({_SCORES.format(src="fj")}), a AS (SELECT *, score >= 1.5 AS tab, sum(CASE WHEN score >= 1.5 OR bordered THEN 0 ELSE 1 END) OVER (PARTITION BY table_key ORDER BY row) AS run, coalesce(lead(score >= 1.5) OVER (PARTITION BY table_key ORDER BY row), FALSE) AS nx FROM r),
+b AS (SELECT *, tab OR (bordered AND (nx OR coalesce(bool_or(tab) OVER (PARTITION BY table_key, run ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE))) AS o FROM a),
+c AS (SELECT *, CASE WHEN row - lag(row) OVER (PARTITION BY table_key ORDER BY row) > 2 THEN 1 ELSE 0 END AS s FROM b WHERE o), d AS (SELECT *, sum(s) OVER (PARTITION BY table_key ORDER BY row) AS region FROM c),
+e AS (SELECT table_key, region, min(row) AS first_row, max(row) AS last_row FROM d GROUP BY table_key, region)
+SELECT table_key, CAST(region AS BIGINT) AS region, first_row, last_row FROM e WHERE (SELECT sum(score) FROM r WHERE r.table_key = e.table_key AND r.row BETWEEN e.first_row AND e.last_row) >= 3""")
+def sheet_regions(spark, sf_dir):
+    """Regions of sheets by scores and borders."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY)
+    return ST.sheet_regions(A.relation(spark, sf_dir, _SCORES.format(src="{rows}"), rows=rows.withColumn("j", F.col("joined"))), KEY)
+
+
+@query(f"""{_ROWS}, rg AS (SELECT table_key, 0 AS region, 2 AS f, 4 AS l FROM fj WHERE table_key % 4 > 0 GROUP BY table_key UNION ALL SELECT table_key, 1, 6, 6 FROM fj WHERE table_key % 4 = 1 GROUP BY table_key),
+x AS (SELECT fj.table_key, fj.row, j, CASE WHEN fj.table_key % 4 = 0 THEN -1 ELSE region END AS region FROM fj LEFT JOIN rg ON fj.table_key = rg.table_key AND row BETWEEN f AND l),
+y AS (SELECT *, CASE WHEN coalesce(region, -2) IS DISTINCT FROM lag(coalesce(region, -2)) OVER (PARTITION BY table_key ORDER BY row) THEN 1 ELSE 0 END AS s FROM x WHERE region IS NOT NULL OR j <> '')
+SELECT table_key, CAST(sum(s) OVER (PARTITION BY table_key ORDER BY row) - 1 AS BIGINT) AS block, CASE WHEN region IS NULL THEN 'prose' ELSE 'table' END AS kind, row, j AS joined FROM y""")
+def sheet_blocks(spark, sf_dir):
+    """Sheets as tables and prose in order; every fourth has no region."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY).select("table_key", "row", "joined")
+    one = rows.select("table_key").distinct()
+    first = one.where("table_key % 4 > 0").selectExpr("table_key", "0L AS region", "2 AS first_row", "4 AS last_row")
+    return ST.sheet_blocks(rows, first.union(one.where("table_key % 4 = 1").selectExpr("table_key", "1L AS region", "6 AS first_row", "6 AS last_row")), KEY)
+
+
+@query(f"""{_ROWS}, p AS (SELECT table_key, row, list_transform(CASE WHEN row = 2 AND table_key % 5 = 0 THEN ['А', '1', '1а', '2', '3', '4'] WHEN row = 2 AND table_key % 5 = 1 THEN ['Код', '1', '2', '3', '4', '5', '6', 'x'] WHEN row = 2 AND table_key % 5 = 2 THEN ['1', '2', '3', '4', '5'] ELSE t END, lambda x: x) AS t FROM fj),
+q AS (SELECT *, list_transform(t, lambda x: lower(replace(x, ' ', ''))) AS lo, list_transform(t, lambda x: regexp_full_match(x, '\\d{{1,2}}') AND coalesce(TRY_CAST(x AS INT) BETWEEN 1 AND 40, FALSE)) AS isn FROM p),
+r AS (SELECT *, coalesce(list_position(isn, TRUE), 0) AS a FROM q),
+s AS (SELECT *, CASE WHEN a > 0 THEN t[a:(a - 1 + coalesce(nullif(list_position(isn[a:], FALSE), 0), len(t) - a + 2) - 1)] ELSE CAST([] AS VARCHAR[]) END AS u FROM r)
+SELECT table_key, row, (len(u) >= 6 AND list_transform(u, lambda x: TRY_CAST(x AS BIGINT)) = range(1, len(u) + 1))
+  OR ({count("length(x) <= 3", "lo")} >= 6 AND list_contains(lo, '1') AND list_contains(lo, '2') AND ({count("regexp_full_match(x, '[0-9]{1,2}[аaбb]')", "lo")} > 0 OR coalesce(lo[1] IN ('а', 'a'), FALSE))) AS index_header FROM s""")
+def sheet_index_headers(spark, sf_dir):
+    """Numbering rows of sheets, some with letters."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY)
+    lit = lambda *xs: F.array(*[F.lit(x) for x in xs])
+    kind = F.col("table_key") % 5
+    second = F.col("row") == 2
+    texts = F.when(second & (kind == 0), lit("А", "1", "1а", "2", "3", "4")).when(second & (kind == 1), lit("Код", "1", "2", "3", "4", "5", "6", "x")).when(second & (kind == 2), lit("1", "2", "3", "4", "5")).otherwise(F.col("texts"))
+    return rows.select("table_key", "row", ST.sheet_index_header(texts).alias("index_header"))
+
+
+@query(f"""{_ROWS} SELECT table_key, row, {count("regexp_full_match(x, '[0-9]{4}')")} > 0 AND ({" + ".join(f"CAST(contains(lower(concat(t[1], ' ', CASE WHEN row % 3 = 0 THEN 'Код строки Наименование за период' ELSE '' END)), '{w}') AS INT)" for w in C.MASHED)}) >= 3 AS mashed FROM fj WHERE n > 0""")
+def mashed_headers(spark, sf_dir):
+    """Code rows into whose first cell a header slid."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY).where(F.size("texts") > 0)
+    first = F.concat(F.get("texts", F.lit(0)), F.lit(" "), F.when(F.col("row") % 3 == 0, "Код строки Наименование за период").otherwise(""))
+    return rows.select("table_key", "row", ST.mashed_header(F.col("texts"), first).alias("mashed"))
+
+
+@query(f"""WITH {A.FORMS_SQL}, b AS (SELECT table_key, row, CASE WHEN table_key % 2 = 0 AND row >= 3 + table_key % 3 THEN 1 ELSE 0 END AS band FROM forms GROUP BY table_key, row)
+SELECT f.table_key, band, row - min(row) OVER (PARTITION BY f.table_key, band) AS row, col, text FROM forms f JOIN b USING (table_key, row)""")
+def layout_bands(spark, sf_dir):
+    """Layout forms cut at their bands."""
+    cells = A.form_cells(spark, sf_dir).select("table_key", "row", "col", "text")
+    bands = cells.select("table_key", "row").distinct().withColumn("band", F.when(F.col("row") >= 3 + F.col("table_key") % 3, 1).otherwise(0))
+    layouts = cells.select("table_key").distinct().withColumn("layout_form", F.col("table_key") % 2 == 0)
+    return ST.split_layouts(cells, bands, layouts, KEY).select("table_key", "band", "row", "col", "text")
+
+
+@query(f"""WITH {A.FORMS_SQL}, v AS (SELECT * FROM forms WHERE {SEE}), u AS (SELECT DISTINCT table_key, unnest(range(col, col + colspan)) AS col FROM v), uc AS (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY col) - 1 AS nc FROM u),
+ur AS (SELECT table_key, row, row_number() OVER (PARTITION BY table_key ORDER BY row) - 1 AS nr FROM (SELECT DISTINCT table_key, row FROM v)), h AS (SELECT table_key, count(*) AS h FROM ur GROUP BY table_key)
+SELECT f.table_key, CAST(nr AS INTEGER) AS row, CAST(nc AS INTEGER) AS col, text, CAST(least(rowspan, h - nr) AS INTEGER) AS rowspan, CAST((SELECT count(*) FROM u WHERE u.table_key = f.table_key AND u.col >= f.col AND u.col < f.col + f.colspan) AS INTEGER) AS colspan
+FROM forms f JOIN ur USING (table_key, row) JOIN uc ON f.table_key = uc.table_key AND f.col = uc.col JOIN h ON f.table_key = h.table_key""")
+def compact_forms(spark, sf_dir):
+    """Forms without their empty rows and columns, spans cut to what is kept."""
+    from ..operators import folds as D
+
+    cells = A.form_cells(spark, sf_dir)
+    return D.rewrite(cells, KEY, D.compact).select("table_key", "row", "col", "text", "rowspan", "colspan")
+
+
+@query(f"""WITH {A.FORMS_SQL}, c AS (SELECT *, CASE WHEN covered THEN 0 ELSE colspan END AS w FROM forms), d AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY table_key, row ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos, sum(w) OVER (PARTITION BY table_key, row) AS total, trim(text) AS t FROM c),
+e AS (SELECT *, max(total) OVER (PARTITION BY table_key) AS n FROM d),
+k AS (SELECT table_key, row, kind AS hk FROM ({{HEADS}}) AS hh), f0 AS (SELECT table_key, min(CASE WHEN hk <> 'HEADER' THEN row END) AS first FROM k GROUP BY table_key),
+r AS (SELECT e.table_key, e.row, any_value(hk) AS hk, coalesce(string_agg('<' || CASE hk WHEN 'HEADER' THEN 'th' ELSE 'td' END || CASE WHEN colspan > 1 THEN ' colspan="' || colspan || '"' ELSE '' END || CASE WHEN rowspan > 1 THEN ' rowspan="' || rowspan || '"' ELSE '' END || ' style="text-align: '
+  || CASE WHEN t = '' THEN 'left' WHEN pos = 0 AND n > 2 THEN 'left' WHEN {numeric('text')} THEN 'right' WHEN pos >= greatest(1, n - 2) AND regexp_matches(t, '\\d') THEN 'right' ELSE 'left' END || '">' || replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')
+  || '</' || CASE hk WHEN 'HEADER' THEN 'th' ELSE 'td' END || '>', '' ORDER BY col) FILTER (NOT covered), '') AS h FROM e JOIN k ON e.table_key = k.table_key AND e.row = k.row GROUP BY e.table_key, e.row),
+s AS (SELECT table_key, coalesce(string_agg(CASE WHEN coalesce(row < first, TRUE) THEN '<tr>' || h || '</tr>' END, '' ORDER BY row), '') AS hd, coalesce(string_agg(CASE WHEN NOT coalesce(row < first, TRUE) THEN '<tr>' || h || '</tr>' END, '' ORDER BY row), '') AS bd FROM r JOIN f0 USING (table_key) GROUP BY table_key)
+SELECT table_key, '<table>' || CASE WHEN hd <> '' THEN '<thead>' || hd || '</thead>' ELSE '' END || CASE WHEN bd <> '' THEN '<tbody>' || bd || '</tbody>' ELSE '' END || '</table>' AS html FROM s""".replace("{HEADS}", SQL["header_rows"]))
+def rendered_forms(spark, sf_dir):
+    """Forms as HTML with heads, spans and alignment."""
+    from ..operators import render as R
+
+    return R.table_html(A.form_cells(spark, sf_dir), KEY)
+
+
+_SEGMENTS = "SELECT l_orderkey AS page, l_linenumber % 2 = 0 AS h, CAST(l_suppkey AS DOUBLE) AS pos, CAST(l_partkey % 300 AS DOUBLE) AS lo, CAST(l_partkey % 300 + 10 + l_quantity AS DOUBLE) AS hi FROM lineitem"
+
+
+@query(f"""WITH s AS ({_SEGMENTS}), a AS (SELECT *, CASE WHEN coalesce(pos - lag(pos) OVER (PARTITION BY page, h ORDER BY pos, lo) > 6, TRUE) THEN 1 ELSE 0 END AS st FROM s), l AS (SELECT *, sum(st) OVER (PARTITION BY page, h ORDER BY pos, lo ROWS UNBOUNDED PRECEDING) AS level FROM a),
+b AS (SELECT *, max(hi) OVER (PARTITION BY page, h, level ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM l), c AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo - reach > 8 THEN 1 ELSE 0 END) OVER (PARTITION BY page, h, level ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS run FROM b),
+m AS (SELECT page, h, level, min(lo) AS lo, max(hi) AS hi FROM c GROUP BY page, h, level, run), y AS (SELECT page, h, level, avg(pos) AS y FROM l GROUP BY page, h, level)
+SELECT page, h AS flat, CASE WHEN h THEN lo ELSE y END AS x0, CASE WHEN h THEN y ELSE lo END AS y0, CASE WHEN h THEN hi ELSE y END AS x1, CASE WHEN h THEN y ELSE hi END AS y1 FROM m JOIN y USING (page, h, level) WHERE hi - lo >= 30""")
+def merged_segments(spark, sf_dir):
+    """Ruled lines of both directions, merged."""
+    from ..sources import raster
+
+    s = A.relation(spark, sf_dir, _SEGMENTS)
+    pick = lambda a, b: F.when(F.col("h"), F.col(a)).otherwise(F.col(b))
+    return raster.merge_all_segments(s.select("page", pick("lo", "pos").alias("x0"), pick("pos", "lo").alias("y0"), pick("hi", "pos").alias("x1"), pick("pos", "hi").alias("y1")), ["page"])
+
+
+@query()
+def page_bodies(spark, sf_dir):
+    """Pages with tables: cells from words and slots, rewritten and rendered, among the free words' paragraphs."""
+    from .. import pipeline as PL
+
+    words = A.form_words(spark, sf_dir).withColumn("size", F.lit(10.0))
+    box = F.struct((F.col("col") * 200.0 - 1).alias("x0"), (F.col("row") * 12.0).alias("top"), (F.col("col") * 200.0 + 198).alias("x1"), (F.col("row") * 12.0 + 11).alias("bottom"))
+    slots = A.form_cells(spark, sf_dir).where("row < 9").select("table_key", F.lit(0).alias("table_id"), "row", "col", box.alias("bbox"), F.when(F.col("kind") == 6, "rsbu").when(F.col("kind") == 3, "ks2").otherwise("unknown").alias("doc_type"))
+    return PL.page_bodies(words, slots, KEY)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,20 +15,37 @@ from ..operators import classify as K
 TYPED = "path string, unit int, own_type string, doc_type string"
 
 
+#: A file's state is given up after this long without pages.
+IDLE_MS = 24 * 3600 * 1000
+
+
 def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last = state.get[0] if state.exists else "unknown"
+    if state.hasTimedOut:
+        state.remove()
+        return
+    units, types = (list(x) for x in state.get) if state.exists else ([], [])
     pages = pd.concat(list(batches)).sort_values("unit")
     out = []
-    for unit, own in zip(pages["unit"], pages["own_type"], strict=True):
-        last = own if isinstance(own, str) else last
-        out.append((key[0], unit, own if isinstance(own, str) else None, last))
-    state.update((last,))
+    for unit, own in zip(pages["unit"].tolist(), pages["own_type"].tolist(), strict=True):
+        known = isinstance(own, str)
+        at = bisect_right(units, unit)
+        if known and not (at and units[at - 1] == unit):
+            units.insert(at, unit)
+            types.insert(at, own)
+        out.append((key[0], unit, own if known else None, own if known else (types[at - 1] if at else "unknown")))
+    state.update((units, types))
+    state.setTimeoutDuration(IDLE_MS)
     yield pd.DataFrame(out, columns=["path", "unit", "own_type", "doc_type"])
 
 
 def carry_types(pages: DataFrame) -> DataFrame:
-    """A stream of pages (path, unit, own_type): a page without a type of its own takes the last one of its file."""
-    return pages.select("path", "unit", "own_type").groupBy("path").applyInPandasWithState(_carry, TYPED, "last string", "append", GroupStateTimeout.NoTimeout)
+    """A stream of pages (path, unit, own_type): a page without a type of its own takes that of the nearest page before it.
+
+    The state of a file holds its pages with types, so a page that comes late takes a type from before it, not
+    from after it. It can't take one that comes later still. A file's state ends after a day without pages.
+    """
+    schema = "units array<int>, types array<string>"
+    return pages.select("path", "unit", "own_type").groupBy("path").applyInPandasWithState(_carry, TYPED, schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def detect(pages: DataFrame) -> DataFrame:

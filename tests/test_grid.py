@@ -4,6 +4,7 @@ import zipfile
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from gridloom import pipeline as P
@@ -145,7 +146,18 @@ def test_office(spark, tmp_path):
     assert "Bolts" in html["b.xlsx"] and ">5.5<" in html["b.xlsx"]
     assert 'data-reasons="legacy_format"' in html["c.xls"] and 'data-reasons="unreadable"' in html["d.docx"]
     assert {r.path.rsplit("/", 1)[1]: r.accepted for r in P.results(units).collect()} == {"a.docx": 1, "b.xlsx": 1, "c.xls": 0, "d.docx": 0}
-    assert P.to_html(spark, f"file://{tmp_path}/a.docx")["result"]["accepted"] == 1
+    found = P.to_html(spark, f"file://{tmp_path}/a.docx")
+    assert (found.accepted, found.rejected, found.cells_left_out) == (1, (), 0) and found.html == html["a.docx"]
+    with pytest.raises(ValueError):
+        P.to_html(spark, "x.pdf")
+    P.write_documents(documents, f"file://{tmp_path}/out", "html")
+    assert (tmp_path / "out" / "file=a.docx").is_dir()
+
+
+def test_what_a_sheet_leaves_out_is_counted(spark, tmp_path):
+    (tmp_path / "b.xlsx").write_bytes(office_files()["b.xlsx"])
+    rows = ooxml.read_office(ooxml.discover(spark, f"file://{tmp_path}"), ooxml.Limits(rows=1)).where("kind = 'left_out'").collect()
+    assert [r.text for r in rows] == ["2"]
 
 
 def test_segments():
@@ -157,20 +169,48 @@ def test_segments():
     assert I.support(I.binarize(image), (20, 50.5, 280, 50.5)) > 0.9
 
 
+def test_segments_of_both_directions(spark):
+    rows = [(1, 0.0, 10.0, 50.0, 10.0), (1, 55.0, 11.0, 90.0, 11.0), (1, 20.0, 0.0, 20.0, 40.0), (1, 21.0, 45.0, 21.0, 80.0), (1, 300.0, 60.0, 310.0, 60.0)]
+    found = I.merge_all_segments(spark.createDataFrame(rows, "page int, x0 double, y0 double, x1 double, y1 double"), ["page"]).collect()
+    assert sorted((r.flat, r.x0, r.y0, r.x1, r.y1) for r in found) == [(False, 20.5, 0.0, 20.5, 80.0), (True, 0.0, 10.5, 90.0, 10.5)]
+    image = np.full((60, 60), 100, np.uint8)
+    image[32] = 255
+    assert I.snap_to_gutter(image, (5, 30, 50, 30)) == (5, 32.0, 50, 32.0) and I.snap_to_gutter(image.T, (30, 5, 30, 50)) == (32.0, 5, 32.0, 50)
+
+
 class State:
     """A stand-in for a stream's state."""
 
-    exists, get = False, ()
+    exists, get, hasTimedOut = False, (), False
 
     def update(self, value):
         self.exists, self.get = True, value
 
+    def setTimeoutDuration(self, ms):
+        pass
+
 
 def test_stream_state():
     from gridloom.streaming.pages import _carry
 
     state = State()
     frame = lambda *rows: iter([pd.DataFrame(rows, columns=["path", "unit", "own_type"])])
-    first = pd.concat(_carry(("f",), frame(("f", 2, None), ("f", 1, "ks2")), state))
-    then = pd.concat(_carry(("f",), frame(("f", 3, None)), state))
-    assert list(first["doc_type"]) == ["ks2", "ks2"] and list(then["doc_type"]) == ["ks2"]
+    first = pd.concat(_carry(("f",), frame(("f", 4, "ks3"), ("f", 2, None), ("f", 1, "ks2")), state))
+    then = pd.concat(_carry(("f",), frame(("f", 3, None), ("f", 5, None), ("f", 0, None)), state))
+    assert list(first["doc_type"]) == ["ks2", "ks2", "ks3"] and list(then["doc_type"]) == ["unknown", "ks2", "ks3"]
+
+
+def test_stream(spark, tmp_path):
+    from gridloom.streaming.pages import carry_types, windowed_reasons
+
+    source, schema = f"file://{tmp_path}/in", "path string, unit int, own_type string"
+    for i, rows in enumerate(([("f", 1, "ks2"), ("f", 3, "upd"), ("g", 1, None)], [("f", 2, None), ("f", 4, None), ("g", 2, "ks3")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = carry_types(spark.readStream.schema(schema).parquet(source)).writeStream.format("memory").queryName("carried").outputMode("append")
+        stream.option("checkpointLocation", f"file://{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+        got = {(r.path, r.unit, r.doc_type) for r in spark.table("carried").collect()}
+        assert got == ({("f", 1, "ks2"), ("f", 3, "upd"), ("g", 1, "unknown")}, {("f", 2, "ks2"), ("f", 4, "upd"), ("g", 2, "ks3")})[i]
+    units = spark.createDataFrame([(i, ["empty_document"] if i % 2 else []) for i in range(6)], "n int, reasons array<string>").selectExpr("timestamp_seconds(n * 400) AS at", "reasons")
+    assert sorted((r.reason, r.n) for r in windowed_reasons(units).collect()) == [("empty_document", 1)] * 3
+
+
