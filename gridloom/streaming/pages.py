@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,11 +16,7 @@ from ..operators import classify as K
 TYPED = "path string, unit int, own_type string, doc_type string"
 
 
-#: A file's state is given up after this long without pages.
-IDLE_MS = 24 * 3600 * 1000
-
-
-def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int = 0) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
@@ -34,18 +31,20 @@ def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
             types.insert(at, own)
         out.append((key[0], unit, own if known else None, own if known else (types[at - 1] if at else "unknown")))
     state.update((units, types))
-    state.setTimeoutDuration(IDLE_MS)
+    if idle_ms:
+        state.setTimeoutDuration(idle_ms)
     yield pd.DataFrame(out, columns=["path", "unit", "own_type", "doc_type"])
 
 
-def carry_types(pages: DataFrame) -> DataFrame:
+def carry_types(pages: DataFrame, idle_ms: int = 0) -> DataFrame:
     """A stream of pages (path, unit, own_type): a page without a type of its own takes that of the nearest page before it.
 
     The state of a file holds its pages with types, so a page that comes late takes a type from before it, not
-    from after it. It can't take one that comes later still. A file's state ends after a day without pages.
+    from after it. It can't take one that comes later still. idle_ms: how long without pages a file's
+    state is kept, for streams that run on; 0 keeps it always (a stream over what is available now needs that).
     """
     schema = "units array<int>, types array<string>"
-    return pages.select("path", "unit", "own_type").groupBy("path").applyInPandasWithState(_carry, TYPED, schema, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return pages.select("path", "unit", "own_type").groupBy("path").applyInPandasWithState(partial(_carry, idle_ms=idle_ms), TYPED, schema, "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def detect(pages: DataFrame) -> DataFrame:
