@@ -38,6 +38,8 @@ LEAST_BITS, MOST_BITS = 16, 24
 #: Counters that are put together in one row, and shingles that a task counts at a time.
 BLOCK = 1 << 13
 RUN = 2_000_000
+#: Tasks that the pairs of one frequent document are dealt out to.
+PLACES = 64
 
 
 @dataclass(frozen=True)
@@ -222,14 +224,20 @@ def _verified(documents: DataFrame, pairs: DataFrame, how: Similarity) -> DataFr
     pairs = spool(pairs.select("a", "b"), "pairs")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
     # bits of the wanted doc_ids, so that only their sets are moved; the table's size is bounded, and a full one only saves less
-    bits = 1 << min(26, max(12, (16 * max(1, pairs.count())).bit_length()))
+    count = pairs.count()
+    bits = 1 << min(26, max(12, (16 * max(1, count)).bit_length()))
     rows = ends.mapInArrow(_spots(bits), "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
     packed = np.zeros(bits // 64, np.int64)
     packed[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     wanted = spark.sparkContext.broadcast(packed.tobytes())
-    sets = documents.mapInArrow(_sets(how.k, wanted), "doc_id long, set binary").dropDuplicates(["doc_id"])
-    one = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
-    two = one.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
+    # documents with a 200th of all ends and more: 200 at most; their pairs are dealt out, and their sets to all places
+    hot = [r["doc_id"] for r in ends.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= max(64, 2 * count / 200)).select("doc_id").collect()]
+    place = lambda x, other: F.when(F.col(x).isin(hot), F.pmod(F.xxhash64(other), F.lit(PLACES)).cast("int")).otherwise(0)
+    places = F.when(F.col("doc_id").isin(hot), F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
+    sets = documents.mapInArrow(_sets(how.k, wanted), "doc_id long, set binary").dropDuplicates(["doc_id"]).select("doc_id", F.explode(places).alias("place"), "set")
+    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("place").alias(f"place_{x}"), F.col("set").alias(f"set_{x}"))
+    placed = pairs.select("a", "b", place("a", "b").alias("place_a"), place("b", "a").alias("place_b"))
+    two = placed.join(side("b"), ["b", "place_b"]).join(side("a"), ["a", "place_a"])
     return two.select("a", "b", "set_a", "set_b").mapInArrow(_overlaps(how.percent), "u long, v long")
 
 
