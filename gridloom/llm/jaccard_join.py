@@ -287,26 +287,26 @@ def link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
 
 
 def _with_nodes(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """documents with a column _node, a number for each text of a doc_id, and ties (u, v) between the texts of one doc_id, if there are any.
+    """documents with a column __node__, a number for each text of a doc_id, and ties (u, v) between the texts of one doc_id, if there are any.
 
     It is the doc_id, or for doc_ids that have unlike texts a number above 2**62, a hash of both.
     """
     number = F.col("doc_id").cast("long")
     own = F.xxhash64(F.coalesce("text", F.lit("")))
-    unlike = documents.where("doc_id IS NOT NULL").select(number.alias("_id"), own.alias("_hash")).groupBy("_id").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).where("lo <> hi").select("_id")
+    unlike = documents.where("doc_id IS NOT NULL").select(number.alias("__id__"), own.alias("__hash__")).groupBy("__id__").agg(F.min("__hash__").alias("lo"), F.max("__hash__").alias("hi")).where("lo <> hi").select("__id__")
     unlike = spool(unlike, "unlike")
     if not unlike.take(1):
-        return documents.withColumn("_node", number), None
-    marked = documents.join(unlike, number == F.col("_id"), "left")
+        return documents.withColumn("__node__", number), None
+    marked = documents.join(unlike, number == F.col("__id__"), "left")
     apart = F.shiftrightunsigned(F.xxhash64(number, "text"), 2).bitwiseOR(F.lit(1 << 62))
-    marked = marked.withColumn("_node", F.when(F.col("_id").isNotNull(), apart).otherwise(number))
-    ties = marked.where("_id IS NOT NULL").select(F.col("_node").alias("u"), F.col("_id").alias("v")).distinct()
-    return marked.drop("_id"), ties
+    marked = marked.withColumn("__node__", F.when(F.col("__id__").isNotNull(), apart).otherwise(number))
+    ties = marked.where("__id__ IS NOT NULL").select(F.col("__node__").alias("u"), F.col("__id__").alias("v")).distinct()
+    return marked.drop("__id__"), ties
 
 
 def _link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
     docs, ties = _with_nodes(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    sizes, final = _linked(docs.where("_node IS NOT NULL").select(F.col("_node").alias("doc_id"), "text"), how, ties)
+    sizes, final = _linked(docs.where("__node__ IS NOT NULL").select(F.col("__node__").alias("doc_id"), "text"), how, ties)
     if ties is not None:
         sizes = sizes.join(ties.select(F.col("u").alias("doc_id"), "v"), "doc_id", "left").select(F.coalesce("v", "doc_id").alias("doc_id"), "n")
     out = sizes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -383,10 +383,10 @@ def drop_near_copies(documents: DataFrame, how: Similarity = Similarity()) -> Da
     """
     docs, _ = _with_nodes(documents)
     with short_batches(documents.sparkSession, 1000):
-        _, classes = _linked(docs.where("_node IS NOT NULL").select(F.col("_node").alias("doc_id"), "text"), how)
-    others = classes.where("node <> component").select(F.col("node").alias("_node"))
-    kept = docs.where("_node IS NOT NULL").join(others, "_node", "left_anti").dropDuplicates(["_node"])
-    return kept.select(*documents.columns).union(docs.where("_node IS NULL").select(*documents.columns))
+        _, classes = _linked(docs.where("__node__ IS NOT NULL").select(F.col("__node__").alias("doc_id"), "text"), how)
+    others = classes.where("node <> component").select(F.col("node").alias("__node__"))
+    kept = docs.where("__node__ IS NOT NULL").join(others, "__node__", "left_anti").dropDuplicates(["__node__"])
+    return kept.select(*documents.columns).union(docs.where("__node__ IS NULL").select(*documents.columns))
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):

@@ -111,6 +111,7 @@ def test_unlike_texts_of_one_doc_id(spark):
     df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _node int").repartition(3)
     classes = {(r.doc_id, r.component_id) for r in link_classes(df, Similarity(5, 80)).collect()}
     assert classes == {(1, 1), (2, 1), (3, 3), (4, 1), (5, 5), (None, None)}
-    plain = df.drop("_node")
-    kept = sorted(((r.doc_id or 0), r.text or "") for r in drop_near_copies(plain).collect())
+    found = drop_near_copies(df).collect()
+    assert all(rows[r._node] == (r.doc_id, r.text) for r in found)
+    kept = sorted(((r.doc_id or 0), r.text or "") for r in found)
     assert kept == sorted([(2, two), (3, three), (4, one + " more"), (5, ""), (0, one)])
