@@ -234,7 +234,7 @@ def _verified(documents: DataFrame, pairs: DataFrame, how: Similarity) -> DataFr
     hot = [r["doc_id"] for r in ends.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") >= max(64, 2 * count / 200)).select("doc_id").collect()]
     place = lambda x, other: F.when(F.col(x).isin(hot), F.pmod(F.xxhash64(other), F.lit(PLACES)).cast("int")).otherwise(0)
     places = F.when(F.col("doc_id").isin(hot), F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
-    sets = documents.mapInArrow(_sets(how.k, wanted), "doc_id long, set binary").dropDuplicates(["doc_id"]).select("doc_id", F.explode(places).alias("place"), "set")
+    sets = documents.mapInArrow(_sets(how.k, wanted), "doc_id long, set binary").select("doc_id", F.explode(places).alias("place"), "set").dropDuplicates(["doc_id", "place"])
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("place").alias(f"place_{x}"), F.col("set").alias(f"set_{x}"))
     placed = pairs.select("a", "b", place("a", "b").alias("place_a"), place("b", "a").alias("place_b"))
     two = placed.join(side("b"), ["b", "place_b"]).join(side("a"), ["a", "place_a"])
