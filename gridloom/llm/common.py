@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..storage import discard, shared_dir, spool
 
-__all__ = ["ROWS", "ascii_lower", "discard", "each_batch", "read", "shared_dir", "short_batches", "slices", "spool", "text_of"]
+__all__ = ["ROWS", "ascii_lower", "discard", "each_batch", "read", "shared_dir", "short_batches", "slices", "spool", "text_of", "whole"]
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -43,6 +43,11 @@ def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 
 
+def whole(df: DataFrame):
+    """All columns of df in one struct, so that an operator's own columns can't clash with them."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
 def text_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A text column with nulls as empty strings."""
     return pc.fill_null(batch.column(name).cast(pa.string()), "")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import discard, short_batches, slices, spool, text_of
+from .common import discard, short_batches, slices, spool, text_of, whole
 from .graph import components
 
 #: The order's table has a byte for each counter and goes to all tasks: a counter for each shingle of the corpus, 2**24 (16 MB) at most.
@@ -287,7 +287,7 @@ def link_classes(documents: DataFrame, how: Similarity) -> DataFrame:
 
 
 def _with_nodes(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """documents with a column __node__, a number for each text of a doc_id, and ties (u, v) between the texts of one doc_id, if there are any.
+    """documents (doc_id, text, and one more column at most, all) with a column __node__, a number for each text of a doc_id, and ties (u, v) between the texts of one doc_id, if there are any.
 
     It is the doc_id, or for doc_ids that have unlike texts a number above 2**62, a hash of both.
     """
@@ -381,12 +381,12 @@ def drop_near_copies(documents: DataFrame, how: Similarity = Similarity()) -> Da
     Rows without a doc_id all stay. Of a doc_id with unlike texts each text is judged for itself; in a class
     they come after the doc_ids that have one text. Repeated rows are one.
     """
-    docs, _ = _with_nodes(documents)
+    docs, _ = _with_nodes(documents.select("doc_id", "text", whole(documents).alias("all")))
     with short_batches(documents.sparkSession, 1000):
         _, classes = _linked(docs.where("__node__ IS NOT NULL").select(F.col("__node__").alias("doc_id"), "text"), how)
     others = classes.where("node <> component").select(F.col("node").alias("__node__"))
     kept = docs.where("__node__ IS NOT NULL").join(others, "__node__", "left_anti").dropDuplicates(["__node__"])
-    return kept.select(*documents.columns).union(docs.where("__node__ IS NULL").select(*documents.columns))
+    return kept.select("all.*").union(docs.where("__node__ IS NULL").select("all.*"))
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):

@@ -161,7 +161,7 @@ def sample(documents: DataFrame, labels: DataFrame, how: Settings) -> list[tuple
         return []
     small = documents.sparkSession.createDataFrame([(r["_id"], r["_quality"]) for r in picked], chosen.schema)
     own = F.coalesce("text", F.lit(""))
-    found = documents.join(F.broadcast(small), documents["doc_id"] == small["_id"]).groupBy("_id", "_quality").agg(F.min_by(own, F.xxhash64(own)).alias("text")).collect()
+    found = documents.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(small), "_id").groupBy("_id", "_quality").agg(F.min_by(own, F.xxhash64(own)).alias("text")).collect()
     return [(r["text"], r["_quality"]) for r in sorted(found, key=lambda r: (str(r["_id"]), r["_quality"]))]
 
 
@@ -170,7 +170,8 @@ def fit(documents: DataFrame, labels: DataFrame, how: Settings = Settings()) ->
 
 
 def add_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """documents with one more column, the probability of class 1."""
+    """documents with one more column, the probability of class 1; it replaces one of that name."""
+    documents = documents.drop(name)
     shared = documents.sparkSession.sparkContext.broadcast((model.settings, model.table, model.bias))
 
     def run(batches):
@@ -195,4 +196,5 @@ def op3_quality_classifier(spark, sf_dir):
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of documents whose score reaches the threshold."""
-    return add_score(documents, fit(documents, labels), "_score").where(F.col("_score") >= threshold).drop("_score")
+    score = "score" + "_" * max(map(len, documents.columns))
+    return add_score(documents, fit(documents, labels), score).where(F.col(score) >= threshold).drop(score)

@@ -7,7 +7,8 @@ of a credential lie in the same scope, a given number of code points; the interv
 that width, which hold a bounded number of matches however long a text is.
 
 Edge cases: a null or empty text has no spans. Rows are told apart by an internal number, so repeated rows
-and repeated or null doc_ids each get their own result. Ties of start are ordered by the kinds as in
+and repeated or null doc_ids each get their own result. Very many matches in one text cost no more each
+than few. Ties of start are ordered by the kinds as in
 KINDS. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read, spool
+from .common import read, spool, whole
 
 
 @dataclass(frozen=True)
@@ -47,20 +48,24 @@ PARTNERS = {"account": (SECRETS,), "key": (IDENTIFIERS,), "endpoint": (IDENTIFIE
 
 
 def matches(text, kind: Kind):
-    """An array of (kind, number, gap before it, its length, whether it counts), for the matches of one kind."""
-    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.split(text, kind.pattern, -1)
-    part = hits if not kind.group else F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group))
-    name = F.lit(kind.name)
+    """An array of (kind, number, gap before it, its length, whether it counts), for the matches of one kind.
+
+    Hits, gaps and groups are made once for a text and then walked side by side.
+    """
+    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hit")
+    gaps = F.split(text, kind.pattern, -1).alias("gap")
+    parts = [F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)).alias("part")] if kind.group else []
 
     def row(x, i):
-        keep = F.length(F.get(part, i)) >= kind.least
+        keep = F.length(x["part"] if parts else x["hit"]) >= kind.least
         if kind.needs:
-            keep = keep & x.rlike(kind.needs)
-        return F.struct(name.alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), F.length(x).alias("size"), keep.alias("keep"))
+            keep = keep & x["hit"].rlike(kind.needs)
+        return F.struct(F.lit(kind.name).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("size"), keep.alias("keep"))
 
     empty = F.array().cast("array<struct<kind:string,i:int,gap:int,size:int,keep:boolean>>")
-    return F.when(text.rlike(kind.pattern), F.transform(hits, row)).otherwise(empty)
+    # the piece after the last match has no hit
+    each = F.filter(F.arrays_zip(hits, gaps, *parts), lambda x: x["hit"].isNotNull())
+    return F.when(text.rlike(kind.pattern), F.transform(each, row)).otherwise(empty)
 
 
 def find(documents: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
@@ -108,23 +113,49 @@ def scan_secrets(documents: DataFrame, *, kinds: tuple[Kind, ...] = KINDS, scope
     return rows.join(spans, "row", "left").withColumn("spans", F.coalesce("spans", empty))
 
 
+#: Code points of a text that are cut at once.
+CHUNK = 4096
+
+
+def _cuts(spans: DataFrame, mark: str) -> DataFrame:
+    """spans (row, doc_id, text_hash, spans) as one map for each doc_id and text: chunk -> (place of the last cut's end, start, end, what comes instead).
+
+    Spans that overlap are one; one that goes on in further chunks has its mark in the first.
+    """
+    once = spans.where(F.size("spans") > 0).select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"]).withColumn("row", F.monotonically_increasing_id())
+    once = spool(once, "marked")
+    each = once.select("row", F.explode("spans").alias("s")).select("row", "s.start", "s.end")
+    before = Window.partitionBy("row").orderBy("start", "end")
+    fresh = F.coalesce(F.col("start") >= F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    one = each.withColumn("fresh", fresh.cast("int")).withColumn("group", F.sum("fresh").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    one = one.groupBy("row", "group").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    parts = one.select("row", "start", "end", F.explode(F.expr(f"sequence(start div {CHUNK}, (end - 1) div {CHUNK})")).alias("chunk"))
+    low = F.col("chunk") * CHUNK
+    parts = parts.select("row", F.col("chunk").cast("int").alias("chunk"), F.greatest("start", low).alias("a") - low, F.least("end", low + CHUNK).alias("b") - low, F.when(F.col("start") >= low, mark).otherwise("").alias("mark"))
+    parts = parts.toDF("row", "chunk", "a", "b", "mark").withColumn("last", F.lag("b", 1, 0).over(Window.partitionBy("row", "chunk").orderBy("a")))
+    lists = parts.groupBy("row", "chunk").agg(F.array_sort(F.collect_list(F.struct(*[F.col(c).cast("int").alias(c) for c in ("last", "a", "b")], "mark"))).alias("cuts"))
+    maps = lists.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "cuts"))).alias("cuts"))
+    return once.select("row", "doc_id", "text_hash").join(maps, "row").select("doc_id", "text_hash", "cuts")
+
+
 def redact(documents: DataFrame, *, mark: str = "[SECRET]", scope: int = 200) -> DataFrame:
     """documents with every reported span replaced by mark, overlapping ones by one mark; other columns as they were (n_chars anew)."""
-    spans = scan_secrets(documents, scope=scope).where(F.size("spans") > 0)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_hash"])
-    joined = documents.join(spans, documents["doc_id"].eqNullSafe(spans["_id"]) & (F.xxhash64(F.coalesce(documents["text"], F.lit(""))) == spans["_hash"]), "left")
-    text = F.col("text")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(state, span):
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        out = F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    done = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.lit(2147483647))))
-    joined = joined.withColumn("text", F.when(F.col("_spans").isNotNull(), done).otherwise(text)).drop("_id", "_hash", "_spans")
-    return joined.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in documents.columns else joined
+    cuts = _cuts(scan_secrets(documents, scope=scope), mark)
+    text = F.coalesce(F.col("all.text"), F.lit(""))
+    docs = documents.select(whole(documents).alias("all"))
+    joined = docs.join(cuts, F.col("all.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(text) == F.col("text_hash")), "left").select("all", "cuts")
+
+    def cut(chunk, i):
+        own = F.col("cuts")[i]
+        head = F.transform(own, lambda c: F.concat(F.substring(chunk, c["last"] + 1, c["a"] - c["last"]), c["mark"]))
+        rest = F.substring(chunk, F.element_at(own, -1)["b"] + 1, F.lit(CHUNK))
+        return F.when(own.isNull(), chunk).otherwise(F.concat(F.array_join(head, ""), rest))
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    done = F.when(F.col("cuts").isNull(), F.col("all.text")).otherwise(F.array_join(F.transform(chunks, cut), ""))
+    joined = joined.select("all", done.alias("text"))
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return joined.select(*[own.get(c, F.col(f"all.`{c}`")).alias(c) for c in documents.columns])
 
 
 def op10_secret_scan(spark, sf_dir):
