@@ -470,7 +470,6 @@ def doc_types(spark, sf_dir):
   n_chars >= 50 AND length(regexp_replace(text, '[^\\p{L}]', '', 'g')) >= 80 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 0.55 * length(regexp_replace(text, '[^\\p{L}]', '', 'g'))
   AND length(regexp_replace(text, '[^\\x{0400}-\\x{04FF}]', '', 'g')) <= 0.2 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS latin_page FROM documents""")
 def letter_shares(spark, sf_dir):
-    A.views(spark, sf_dir)
     n = K.letter_counts(F.col("text"))
     latin = (F.col("n_chars") >= 50) & (n["letters"] >= 80) & (n["latin"] >= 0.55 * n["letters"]) & (n["cyrillic"] <= 0.2 * n["letters"])
     return A.table(spark, sf_dir, "documents").select("doc_id", *[n[k].alias(k) for k in ("letters", "latin", "cyrillic")], latin.alias("latin_page"))
@@ -479,14 +478,12 @@ def letter_shares(spark, sf_dir):
 @query()
 def broken_fonts(spark, sf_dir):
     """Pages whose text doesn't mean what it shows; tested on literal cases."""
-    A.views(spark, sf_dir)
     docs = A.table(spark, sf_dir, "documents").withColumns({"n_ocr_chars": F.when(F.col("doc_id") % 11 == 0, 25).otherwise(0), "cover": F.lit(0.0)})
     return K.precheck(docs).select("doc_id", "suitable", "reasons")
 
 
 @query("""SELECT doc_id, n_chars < 200 AND length(trim(text, ' ' || chr(10) || chr(9))) < 200 AND least(1, doc_id % 10 / 10.0) >= 0.35 AS scan FROM documents""")
 def image_scans(spark, sf_dir):
-    A.views(spark, sf_dir)
     how = C.Suitability(scan_chars=200)
     return A.table(spark, sf_dir, "documents").select("doc_id", K.image_scan(F.col("text"), F.col("n_chars"), K.image_cover(F.col("doc_id") % 10, F.lit(10.0)), how).alias("scan"))
 
