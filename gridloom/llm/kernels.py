@@ -1,6 +1,7 @@
 """Vectorised hashing of words and shingles over UTF-8 bytes.
 
-Words are maximal runs of bytes other than ASCII white space, which never splits a UTF-8 sequence.
+Words are maximal runs of bytes other than ASCII white space, or than another set of ASCII bytes, which never
+splits a UTF-8 sequence.
 """
 
 from __future__ import annotations
@@ -40,13 +41,20 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words in byte order, and the first word of each row (one more at the end)."""
+def classes(low: int) -> np.ndarray:
+    """For each byte whether it parts words of A-Z, a-z, bytes from 0x80 and, with low = 0x30, digits."""
+    out = np.ones(256, bool)
+    out[[*range(low, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, runs of bytes not in between, in byte order, and the first word of each row (one more at the end)."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~between[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     first = inside.copy()
