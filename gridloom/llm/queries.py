@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat, divergence, html_text, imatch, jaccard_join, knn_join, packing, quality, secrets, url_filter
+from . import byte_bpe, chat, divergence, html_text, imatch, jaccard_join, knn_join, packing, quality, resampling, secrets, url_filter
 
 _ALL = (
     url_filter.op1_url_filter,
@@ -15,7 +15,8 @@ _ALL = (
     knn_join.op8_voronoi_knn,
     chat.op9_perspective_rotation,
     secrets.op10_secret_scan,
+    resampling.op11_importance_resampling,
     divergence.op13_source_divergence,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op1_url_filter": url_filter.OP1_SQL, "op8_voronoi_knn": knn_join.OP8_SQL, "op9_perspective_rotation": chat.OP9_SQL, "op13_source_divergence": divergence.OP13_SQL}
+SQL = {"op1_url_filter": url_filter.OP1_SQL, "op8_voronoi_knn": knn_join.OP8_SQL, "op9_perspective_rotation": chat.OP9_SQL, "op11_importance_resampling": resampling.OP11_SQL, "op13_source_divergence": divergence.OP13_SQL}
