@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, chat, divergence, html_text, imatch, jaccard_join, knn_join, packing, quality, resampling, secrets, url_filter
+from . import byte_bpe, chat, divergence, html_text, imatch, jaccard_join, knn_join, packing, quality, resampling, secrets, toxicity, url_filter
 
 _ALL = (
     url_filter.op1_url_filter,
@@ -16,6 +16,7 @@ _ALL = (
     chat.op9_perspective_rotation,
     secrets.op10_secret_scan,
     resampling.op11_importance_resampling,
+    toxicity.op12_toxicity,
     divergence.op13_source_divergence,
 )
 QUERIES = {f.__name__: f for f in _ALL}
