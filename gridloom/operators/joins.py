@@ -30,6 +30,25 @@ def words_in_slots(words: DataFrame, slots: DataFrame, keys: list[str], margin:
     return slots.alias("s").join(words.alias("w"), _same(keys, "s", "w") & G.holds(F.col("s.bbox"), x, y, margin), "left").select("s.*", *[F.col(f"w.{c}").alias(f"word_{c}" if c != "word_id" else c) for c in words.columns if c not in keys])
 
 
+def inside(keys: list[str], words: str, boxes: str, margin: float) -> Column:
+    """Whether a word's centre lies in a box of its page; both are aliases."""
+    x, y = centre(words)
+    return _same(keys, words, boxes) & G.holds(F.col(f"{boxes}.bbox"), x, y, margin)
+
+
+def slot_words(words: DataFrame, slots: DataFrame, keys: list[str], band: float = 48.0) -> DataFrame:
+    """Words with the slots (table_id, row, col, bbox) that hold their centres; slots without words don't come.
+
+    Slots go to all bands of the page that they reach, words to their centre's, so a word meets the slots of its
+    own height only.
+    """
+    _, y = centre()
+    reach = lambda c: F.floor(F.col(f"bbox.{c}") / band)
+    s = slots.where("bbox IS NOT NULL").withColumn("_band", F.explode(F.sequence(reach("top"), reach("bottom")))).alias("s")
+    w = words.withColumn("_band", F.floor((F.col("top") + F.col("bottom")) / 2 / band)).alias("w")
+    return s.join(w, (F.col("s._band") == F.col("w._band")) & inside(keys, "w", "s", 0.0)).select(*[F.col(f"s.{k}").alias(k) for k in [*keys, "table_id", "row", "col"]], *[F.col(f"w.{c}").alias(c) for c in words.columns if c not in keys])
+
+
 def words_of_tables(words: DataFrame, tables: DataFrame, keys: list[str], margin: float = 1.0, outside: bool = False) -> DataFrame:
     """Words whose centre lies in any table's box, or in none."""
     x, y = centre()

@@ -27,23 +27,18 @@ def camelot_slots(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.select(*keys, "row", "col", F.when(~covered, box).alias("bbox"))
 
 
-def cell_text(y_tolerance: float = 3.0) -> Column:
-    """An aggregate over a slot's words (text, x0, top): lines joined by breaks, spaced digits made numbers.
+def cell_texts(words: DataFrame, own: list[str], y_tolerance: float = 3.0) -> DataFrame:
+    """(own, text) of slots' words (word_id, text, x0, top): lines joined by breaks, spaced digits made numbers.
 
     A line begins where a word stands further than the tolerance from the word before it, in the order of tops.
     """
-    words = F.array_sort(F.collect_list(F.struct(F.bround("top").alias("y"), "x0", "word_id", "top", "text")))
-    start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(-1).alias("line"), F.array().cast("array<struct<line:int,x0:double,word_id:bigint,text:string>>").alias("out"))
-
-    def step(state, w):
-        line = F.when(state["top"].isNull() | (F.abs(w["top"] - state["top"]) > y_tolerance), state["line"] + 1).otherwise(state["line"])
-        own = F.struct(line.alias("line"), w["x0"].cast("double").alias("x0"), w["word_id"].cast("long").alias("word_id"), w["text"].alias("text"))
-        return F.struct(w["top"].cast("double").alias("top"), line.alias("line"), F.concat(state["out"], F.array(own)).alias("out"))
-
-    placed = F.array_sort(F.aggregate(words, start, step, lambda s: s["out"]))
-    last = F.coalesce(F.element_at(placed, -1)["line"], F.lit(0))
-    lines = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.transform(F.filter(placed, lambda p: p["line"] == i), lambda p: p["text"]), " "))
-    return normalize_digits(T.strip(F.array_join(lines, "\n")))
+    order = [F.bround("top"), F.col("x0"), F.col("word_id")]
+    lines = N.islands(words.repartition(*own), own, order, F.coalesce(F.abs(F.col("top") - N.before("top", own, order)) > y_tolerance, F.lit(True)), "line")
+    place = ["line", "x0", "word_id"]
+    last = N.before("line", own, place)
+    piece = F.concat(F.when(last.isNull(), "").when(last != F.col("line"), "\n").otherwise(" "), "text")
+    parts = lines.withColumn("piece", piece).groupBy(*own).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*place, "piece"))), lambda x: x["piece"]), "").alias("text"))
+    return parts.select(*own, normalize_digits(T.strip(F.col("text"))).alias("text"))
 
 
 def build_cells(words: DataFrame, slots: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,10 +48,8 @@ def build_cells(words: DataFrame, slots: DataFrame, keys: list[str]) -> DataFram
     Split digits are joined before. Slots without words have an empty text.
     """
     whole = N.merge_split_digits(words, keys)
-    found = J.words_in_slots(whole, slots.where("bbox IS NOT NULL"), keys)
     own = [*keys, "table_id", "row", "col"]
-    found = found.where("word_id IS NOT NULL").select(*own, "word_id", *[F.col(f"word_{c}").alias(c) for c in ("text", "x0", "top")])
-    texts = found.groupBy(*own).agg(cell_text().alias("text"))
+    texts = cell_texts(J.slot_words(whole, slots, keys).select(*own, "word_id", "text", "x0", "top"), own)
     return slots.join(texts, own, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 

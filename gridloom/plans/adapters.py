@@ -24,7 +24,7 @@ FROM (
 """
 BASE = """
 b AS (
-  SELECT l_orderkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS r, l_partkey AS k,
+  SELECT l_orderkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag, l_linestatus) - 1 AS r, l_partkey AS k,
     l_returnflag AS flag, l_linestatus AS status, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS c,
     CASE l_orderkey % 5 WHEN 0 THEN 'rsbu' WHEN 1 THEN 'ks2' WHEN 2 THEN 'upd' WHEN 3 THEN 'unknown' ELSE 'ks3' END AS dt
   FROM lineitem)
@@ -55,7 +55,7 @@ FORM_BASE = """
 fb AS (
   SELECT tk, CAST(rn AS INT) AS r, k, q, c, CAST(tk % 8 AS INT) AS kind, n FROM (
     SELECT CAST(floor(l_orderkey / 4) AS BIGINT) AS tk, l_partkey AS k, CAST(floor(l_quantity) AS BIGINT) AS q, CAST(floor(l_extendedprice) AS BIGINT) AS c,
-      row_number() OVER (PARTITION BY CAST(floor(l_orderkey / 4) AS BIGINT) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS rn,
+      row_number() OVER (PARTITION BY CAST(floor(l_orderkey / 4) AS BIGINT) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS rn,
       count(*) OVER (PARTITION BY CAST(floor(l_orderkey / 4) AS BIGINT)) AS n FROM lineitem) AS f0)
 """
 FORM_CELLS = """
