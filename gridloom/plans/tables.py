@@ -386,10 +386,10 @@ def merged_segments(spark, sf_dir):
 
 @query()
 def page_bodies(spark, sf_dir):
-    """Pages with tables: cells from words and slots, rewritten and rendered, among the free words' paragraphs."""
+    """Pages with tables: cells from words and slots, rewritten and rendered, among the free words' paragraphs. Two kinds of pages have no table."""
     from .. import pipeline as PL
 
     words = A.form_words(spark, sf_dir).withColumn("size", F.lit(10.0))
     box = F.struct((F.col("col") * 200.0 - 1).alias("x0"), (F.col("row") * 12.0).alias("top"), (F.col("col") * 200.0 + 198).alias("x1"), (F.col("row") * 12.0 + 11).alias("bottom"))
-    slots = A.form_cells(spark, sf_dir).where("row < 9").select("table_key", F.lit(0).alias("table_id"), "row", "col", box.alias("bbox"), F.when(F.col("kind") == 6, "rsbu").when(F.col("kind") == 3, "ks2").otherwise("unknown").alias("doc_type"))
+    slots = A.form_cells(spark, sf_dir).where("kind NOT IN (1, 4)").select("table_key", F.lit(0).alias("table_id"), "row", "col", box.alias("bbox"), F.when(F.col("kind") == 6, "rsbu").when(F.col("kind") == 3, "ks2").otherwise("unknown").alias("doc_type"))
     return PL.page_bodies(words, slots, KEY)
