@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text as T
+from . import joins as J
 from . import shapes as S
 
 
@@ -51,6 +52,58 @@ def sheet_regions(rows: DataFrame, keys: list[str], least: float = 1.5, gap: int
     return whole.where(F.col("_s") >= 2 * least).drop("_s")
 
 
+def row_borders(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row, borders): the visible sides of a row's cells (borders); where none is, a floor by the table's inner rules (inside_h, inside_v) and width."""
+    inner = F.when(F.max(F.col("inside_h").cast("int")) == 1, 2).otherwise(0) + F.when(F.max(F.col("inside_v").cast("int")) == 1, 2).otherwise(0)
+    rows = cells.groupBy(*keys, "row").agg(F.sum(F.when(~F.col("covered"), F.col("borders")).otherwise(0)).alias("_n"), inner.alias("_inner"), (F.max("col") + 1).alias("_w"))
+    every = Window.partitionBy(*keys)
+    floor = F.max("_inner").over(every) * F.greatest(F.lit(1), F.expr("cast(_wide div 4 AS int)"))
+    return rows.withColumn("_wide", F.max("_w").over(every)).withColumn("borders", F.when(F.col("_n") == 0, floor).otherwise(F.col("_n")).cast("long")).select(*keys, "row", "borders")
+
+
+def sheet_measures(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, row, has_value, borders, merges, score) of sheets' rows: cells with a border, merges that begin, and how much like a table's row it is."""
+    seen = ~F.col("covered") & ~T.is_empty(F.col("text"))
+    texts = F.transform(F.array_sort(F.collect_list(F.when(seen, F.struct("col", T.strip(F.col("text")).alias("t"))))), lambda x: x["t"])
+    n = lambda c: F.sum(c.cast("int"))
+    rows = cells.groupBy(*keys, "row").agg(F.bool_or(seen).alias("has_value"), n(F.coalesce("borders", F.lit(0)) > 0).alias("borders"), n((F.col("rowspan") > 1) | (F.col("colspan") > 1)).alias("merges"), texts.alias("texts"))
+    score = F.when(F.col("has_value"), 1.0).otherwise(0.0) + F.when(F.col("borders") >= 3, 2.0).when(F.col("borders") >= 1, 0.8).otherwise(0.0) + F.when(F.col("merges") >= 1, 0.8).otherwise(0.0) + F.when(sheet_index_header(F.col("texts")), 3.0).otherwise(0.0)
+    return rows.withColumn("score", score)
+
+
+def table_regions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of sheet_measures to regions (keys, region, first_row, last_row): runs of rows that look like a table's, and those with some border or merge behind or right before one.
+
+    A single row with few borders is a title; a region without values counts only with borders enough.
+    """
+    order = Window.partitionBy(*keys).orderBy("row")
+    tab = (F.col("score") >= 1.5) | ((F.col("borders") >= 2) & F.col("has_value"))
+    near = F.col("has_value") & ((F.col("borders") >= 1) | (F.col("merges") >= 1))
+    r = rows.repartition(*keys).withColumns({"_tab": tab, "_may": tab | near})
+    next_to = F.coalesce(F.lead("_tab").over(order) & (F.lead("row").over(order) == F.col("row") + 1), F.lit(False))
+    broken = F.coalesce(F.lag("row").over(order) != F.col("row") - 1, F.lit(True))
+    r = r.withColumns({"_next": next_to, "_run": F.sum(F.when(F.col("_may") & ~broken, 0).otherwise(1)).over(order)})
+    behind = F.coalesce(F.max(F.col("_tab").cast("int")).over(Window.partitionBy(*keys, "_run").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) == 1
+    on = r.withColumn("_on", F.col("_tab") | (F.col("_may") & (behind | F.col("_next")))).where("_on")
+    start = F.coalesce(F.lag("row").over(order) != F.col("row") - 1, F.lit(True)).cast("int")
+    found = on.withColumn("_start", start).withColumn("region", F.sum("_start").over(order) - 1).groupBy(*keys, "region").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.sum("borders").alias("_b"), F.sum(F.col("has_value").cast("int")).alias("_v"))
+    title = (F.col("first_row") == F.col("last_row")) & (F.col("_b") < 2) & (F.col("_v") <= 1)
+    return found.where(~title & ((F.col("_v") > 0) | (F.col("_b") >= 4))).drop("_b", "_v")
+
+
+def region_grids(cells: DataFrame, regions: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of each region (keys, region, row from 0, col, text, more, spans, covered): merges are clipped to its rows, and begin anew in its first row where they came from above."""
+    of = lambda c: [F.col(f"r.{k}") == F.col(f"{c}.{k}") for k in keys]
+    spot = F.col("m.row") + F.col("m.rowspan") - 1
+    origins = cells.where("(rowspan > 1 OR colspan > 1) AND NOT covered").alias("m")
+    clipped = origins.join(regions.alias("r"), [*of("m"), F.col("m.row") <= F.col("r.last_row"), spot >= F.col("r.first_row")]).select(
+        *[F.col(f"r.{k}").alias(k) for k in keys], "r.region", (F.greatest("m.row", "r.first_row") - F.col("r.first_row")).alias("r0"), F.col("m.col").alias("c0"), (F.least(spot, F.col("r.last_row")) - F.col("r.first_row")).alias("r1"), (F.col("m.col") + F.col("m.colspan") - 1).alias("c1")
+    )
+    own = cells.drop("rowspan", "colspan", "covered").alias("c").join(regions.alias("r"), [*of("c"), F.col("c.row").between(F.col("r.first_row"), F.col("r.last_row"))])
+    own = own.select("c.*", "r.region", "r.first_row").withColumn("row", (F.col("row") - F.col("first_row")).cast("int"))
+    return J.expand_merges(own, clipped, [*keys, "region"])
+
+
 def sheet_blocks(rows: DataFrame, regions: DataFrame, keys: list[str]) -> DataFrame:
     """Rows (row, joined) of sheets in blocks: tables where a region is, prose between; a sheet without regions is one table.
 
