@@ -9,7 +9,7 @@ from ..functions import geometry as GEO
 from ..functions import text as T
 from . import joins as J
 from . import ordered as N
-from .shapes import normalize_digits
+from .shapes import cluster_numeric, normalize_digits
 
 
 def page_text(text: Column, words: Column, least: int = 40) -> Column:
@@ -115,6 +115,60 @@ def codes_above(words: DataFrame, blocks: DataFrame, keys: list[str], up: float
     return near.withColumn("side", F.when(over, "above").when(beside, "left")).where("side IS NOT NULL").drop("_b")
 
 
+def code_pairs(near: DataFrame, keys: list[str], tolerance: float = 4.0) -> DataFrame:
+    """(keys, seq, label, code) of the words near a block of codes (codes_above): each band with a code gives one pair, its last code and all its other words.
+
+    Bands without words beside their code take the words of the nearest band above that has no code, each such band once.
+    """
+    bands = N.word_lines(near.repartition(*keys), keys, tolerance)
+    band = [*keys, "line"]
+    is_code = F.col("text").rlike(r"^\d{2,10}$")
+    last = F.max(F.when(is_code, F.struct("x0", "word_id"))).over(Window.partitionBy(*band))
+    marked = bands.withColumn("_code", F.coalesce(last == F.struct("x0", "word_id"), F.lit(False)))
+    parts = F.array_sort(F.collect_list(F.when(~F.col("_code"), F.struct("x0", "word_id", "text"))))
+    rows = marked.groupBy(*band).agg(F.array_join(F.transform(parts, lambda x: x["text"]), " ").alias("own"), F.max(F.when(F.col("_code"), F.col("text"))).alias("code"))
+    order = Window.partitionBy(*keys).orderBy("line")
+    # the band right above, if it has words and no code, belongs to a code that has none
+    above = F.when(F.lag("code").over(order).isNull(), F.lag("own").over(order))
+    label = F.when(F.col("own") != "", F.col("own")).otherwise(F.coalesce(above, F.lit("")))
+    return rows.withColumn("label", label).where("code IS NOT NULL").select(*keys, F.col("line").alias("seq"), "label", "code")
+
+
+def realign_rows(words: DataFrame, keys: list[str], least: int = 3) -> DataFrame:
+    """Cells (keys, row, col, text) of the data rows of statements without rules, put to their table's most frequent number of columns.
+
+    words: keys, row, word_id, text, x0, x1, top, bottom, size. A data row has, in its longest line, three groups of
+    words and two numbers: what stands before the first number is its label, column 0. Rows with the most frequent
+    number of columns give the columns' right edges; each number of the other rows goes to the nearest one, those
+    that go to the same one are joined. Tables with fewer than two data rows or ``least`` columns give none.
+    """
+    at = [*keys, "row"]
+    lines = N.word_lines(words.repartition(*keys), at)
+    longest = lines.groupBy(*at, "line").agg(F.count("*").alias("n")).groupBy(*at).agg(F.max_by("line", F.struct("n", (-F.col("line")).alias("i"))).alias("line"))
+    main = N.word_clusters(lines.join(longest, [*at, "line"]), at)
+    # words before the first digit of a row's first group are its label
+    digit = F.col("text").rlike(r"\d")
+    seen = F.max(digit.cast("int")).over(Window.partitionBy(*at, "cluster").orderBy("x0", "word_id").rowsBetween(Window.unboundedPreceding, 0))
+    main = main.withColumn("_lead", (F.col("cluster") == 0) & (seen == 0))
+    groups = main.groupBy(*at, "cluster", "_lead").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "word_id", "text"))), lambda x: x["text"]), " ").alias("text"), F.min("x0").alias("x0"), F.max("x1").alias("x1"))
+    row = Window.partitionBy(*at)
+    order = row.orderBy("x0")
+    groups = groups.withColumn("_num", cluster_numeric(F.col("text")))
+    groups = groups.withColumns({"_i": F.row_number().over(order), "_n": F.max("cluster").over(row) + 1, "_m": F.sum(F.col("_num").cast("int")).over(row)})
+    groups = groups.withColumn("_first", F.min(F.when(F.col("_num"), F.col("_i"))).over(row)).where("_n >= 3 AND _m >= 2")
+    label = groups.where("_i < _first").groupBy(*at).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", "text"))), lambda x: x["text"]), " ").alias("text"))
+    numbers = groups.where("_i >= _first AND _num").withColumn("_j", F.row_number().over(order))
+    counts = numbers.groupBy(*at).agg((F.count("*") + 1).alias("columns"))
+    modal = counts.groupBy(*keys, "columns").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.max_by("columns", F.struct("n", "columns")).alias("columns"), F.sum("n").alias("rows")).where((F.col("rows") >= 2) & (F.col("columns") >= least))
+    typical = numbers.join(counts, at).join(modal.select(*keys, "columns"), [*keys, "columns"])
+    edges = typical.groupBy(*keys, "_j").agg(F.avg("x1").alias("edge")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_j", "edge"))).alias("edges"))
+    nearest = F.array_min(F.transform("edges", lambda e: F.struct(F.abs(e["edge"] - F.col("x1")).alias("d"), e["_j"].alias("col"))))["col"]
+    cells = numbers.join(edges, keys).withColumn("col", nearest.cast("int")).groupBy(*at, "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_j", "text"))), lambda x: x["text"]), " ").alias("text"))
+    grid = counts.select(*at).join(modal.select(*keys, "columns"), keys).withColumn("col", F.explode(F.expr("sequence(0, cast(columns AS int) - 1)"))).drop("columns")
+    found = cells.unionByName(label.withColumn("col", F.lit(0)))
+    return grid.join(found, [*at, "col"], "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def best_column_count(counts: DataFrame, keys: list[str], value: str = "clusters") -> DataFrame:
     """The most frequent number of columns of a table's rows; the greater one on ties."""
     each = counts.groupBy(*keys, value).agg(F.count("*").alias("n"))
