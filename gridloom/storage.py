@@ -26,14 +26,15 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def spool(df: DataFrame, name: str) -> DataFrame:
+def spool(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there and survives lost executors.
 
-    The table is removed by discard, or when the driver ends.
+    by: a column of numbers whose values get folders of their own, so that a filter on it reads only its own. The
+    table is removed by discard, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     place, files = _place(spark, path)
     files.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
