@@ -20,11 +20,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, read, spool
+from .common import ascii_lower, discard, read, spool
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: About the size of a shard's cascade, which is a literal of the plan.
 MOST_BYTES = 16 << 20
+#: Shards whose cascades one pass over the rows holds: 64 MB of bits.
+PER_PASS = 4
 #: Bits of a Bloom filter that are put together in one row.
 BLOCK = 1 << 15
 
@@ -153,13 +155,21 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...], *,
     universe = spool(merged.where(F.col("seen") & F.col("key").isNotNull()).select("key", "listed"), "universe")
     sizes = {r["listed"]: r["n"] for r in universe.groupBy("listed").agg(F.count("*").alias("n")).collect()}
     shards = shards_for(sizes.get(True, 0), sizes.get(False, 0), most_bytes)
-    judged = found.withColumn("listed", F.lit(False))
-    for shard in range(shards):
-        levels = build(universe.where(shard_of(F.col("key"), shards) == shard))
-        own = F.filter(domains(F.col("host")), lambda x: shard_of(x, shards) == shard)  # noqa: B023
-        judged = judged.withColumn("listed", F.col("listed") | F.exists(own, lambda x: member(levels, x)))  # noqa: B023
-        if shards > 1:
+    if shards > 1:  # the keys are dealt to shards once, in folders of their own
+        whole, shard = universe, shard_of(F.col("key"), shards).cast("int")
+        universe = spool(whole.withColumn("shard", shard).repartition("shard", F.pmod(F.xxhash64("key"), F.lit(8))), "shards", by="shard")
+        discard(whole)
+    judged, written = found.withColumn("listed", F.lit(False)), None
+    for first in range(0, shards, PER_PASS):
+        for shard in range(first, min(first + PER_PASS, shards)):
+            levels = build(universe.where(F.col("shard") == shard).select("key", "listed") if shards > 1 else universe)
+            own = F.filter(domains(F.col("host")), lambda x: shard_of(x, shards) == shard)  # noqa: B023
+            judged = judged.withColumn("listed", F.col("listed") | F.exists(own, lambda x: member(levels, x)))  # noqa: B023
+        if first + PER_PASS < shards:  # the rows are written once for so many shards, and the bits of those before are done with
             judged = spool(judged, "judged")
+            if written is not None:
+                discard(written)
+            written = judged
     by_list = F.when(F.col("listed"), F.lit(listed_verdict)).otherwise(F.lit(other_verdict))
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict"), "listed")
 
