@@ -113,3 +113,28 @@ def test_long_dialogues_go_by_blocks(spark, turn):
     order = [(r.turn or 0, r.speaker, r.segment) for r in segments.orderBy("start").collect()]
     assert order == sorted(order) or turn == "id"
     assert segments.count() == 3000
+
+
+def test_bounds_leave_out_most_of_clustered_vectors():
+    import numpy as np
+
+    from gridloom.llm.knn_join import Summary, fit_pivots, nearest
+
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(40, 16)) * 200
+    x = np.floor(middles[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 12)
+    centres = fit_pivots(x, 64)
+    group, n = nearest(x, centres), len(centres)
+    count, away = np.bincount(group, minlength=n), np.linalg.norm(x - centres[group], axis=1)
+    most = lambda v: np.array([v[group == i].max(initial=0.0) for i in range(n)])
+    near = np.concatenate([np.flatnonzero(group == i)[np.argsort(away[group == i])[:6]] for i in range(n)])
+    summary = Summary(centres, most(away), most(np.linalg.norm(x, axis=1)), count, near, x[near])
+    q, own = x[::50], np.arange(0, 4000, 50)
+    needed = (summary.most(q) >= summary.sure(q, own, 5)[:, None]) & (count > 0)
+    scored = (needed * count).sum() / (len(q) * len(x))
+    assert scored < 0.2, scored
+    # and no group that holds one of the five best is left out
+    scores = q @ x.T
+    scores[np.arange(len(q)), own] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :5]
+    assert all(needed[i, group[j]] for i in range(len(q)) for j in best[i])
