@@ -8,10 +8,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from gridloom.plans import catalog, finders, tables
+from gridloom.plans import catalog, finders, small, tables
 
 DATA = Path("/root/testdata/sf0.001")
-assert tables and finders
+assert tables and finders and small
 
 
 def plain(v):
