@@ -14,7 +14,7 @@ CELLS = """
 SELECT o AS table_key, CAST(r AS INT) AS row, col, text, rowspan, colspan, covered,
   col * 50.0 AS x0, col * 50.0 + 40.0 + r % 3 AS x1, r * 12.0 AS top, r * 12.0 + 10.0 AS bottom, doc_type
 FROM (
-  SELECT o, r, 0 AS col, CASE WHEN k % 5 = 0 THEN '' WHEN k % 11 = 0 THEN concat('Раздел ', flag, ' item.') ELSE concat(flag, ' item ', CAST(k % 97 AS VARCHAR(9))) END AS text, 1 AS rowspan, CASE WHEN k % 7 = 0 THEN 2 ELSE 1 END AS colspan, FALSE AS covered, dt AS doc_type FROM b
+  SELECT o, r, 0 AS col, CASE WHEN k % 5 = 0 THEN '' WHEN k % 11 = 0 THEN concat('Раздел ', flag, ' item.') WHEN k % 29 = 0 THEN concat('Сведения о порядке учета приведены в пояснениях к отчету номер ', CAST(k AS VARCHAR(9)), '.') ELSE concat(flag, ' item ', CAST(k % 97 AS VARCHAR(9))) END AS text, 1 AS rowspan, CASE WHEN k % 7 = 0 THEN 2 ELSE 1 END AS colspan, FALSE AS covered, dt AS doc_type FROM b
   UNION ALL SELECT o, r, 1, CASE WHEN k % 7 = 0 OR k % 13 = 0 THEN '' ELSE CAST(1000 + k % 9000 AS VARCHAR(9)) END, 1, 1, k % 7 = 0, dt FROM b
   UNION ALL SELECT o, r, 2, CASE WHEN k % 17 = 0 THEN '-' ELSE CAST(q AS VARCHAR(9)) END, CASE WHEN k % 19 = 0 THEN 2 ELSE 1 END, 1, FALSE, dt FROM b
   UNION ALL SELECT o, r, 3, concat(CAST(CAST(floor(c / 100000) AS BIGINT) AS VARCHAR(9)), ' ', lpad(CAST(CAST(floor(c / 100) AS BIGINT) % 1000 AS VARCHAR(9)), 3, '0'), ',', lpad(CAST(c % 100 AS VARCHAR(9)), 2, '0')), 1, 1, FALSE, dt FROM b
@@ -61,7 +61,7 @@ fb AS (
 FORM_CELLS = """
 SELECT tk AS table_key, r AS row, CAST(col AS INT) AS col, kind, k,
   CASE kind
-    WHEN 0 THEN CASE WHEN r = 0 THEN CASE col WHEN 0 THEN '№ п/п' WHEN 1 THEN 'Наименование товара' WHEN 2 THEN 'Единица измерения' WHEN 3 THEN 'Количество' WHEN 4 THEN 'Цена, руб.' ELSE 'Сумма без НДС' END
+    WHEN 0 THEN CASE WHEN r = 0 THEN CASE col WHEN 0 THEN '№ п/п' WHEN 1 THEN 'Наименование товара' WHEN 2 THEN 'Единица измерения' WHEN 3 THEN 'Количество' WHEN 4 THEN CASE WHEN tk % 16 = 0 THEN 'Налоговая ставка' ELSE 'Цена, руб.' END ELSE 'Сумма без НДС' END
       WHEN r = 1 THEN CAST(col + 1 AS VARCHAR(9)) WHEN r = n - 1 AND n > 5 THEN CASE WHEN col >= 4 THEN concat(CAST(c AS VARCHAR(9)), ',00') ELSE '' END
       ELSE CASE col WHEN 0 THEN CAST(r - 1 AS VARCHAR(9)) WHEN 1 THEN concat('Болт стальной ', CAST(k AS VARCHAR(9))) WHEN 2 THEN 'шт' WHEN 3 THEN CAST(q AS VARCHAR(9)) WHEN 4 THEN concat(CAST(c % 900 AS VARCHAR(9)), ',50') ELSE concat(CAST(c AS VARCHAR(9)), ',00') END END
     WHEN 1 THEN CASE WHEN col > 0 THEN '' WHEN r % 3 = 0 THEN concat('Общество ведет учет по правилам, которые приняты на весь год и хранятся ', CAST(k AS VARCHAR(9)), ' дней.') ELSE 'Сведения о порядке учета раскрыты в пояснениях, приложенных к отчету, и верны;' END

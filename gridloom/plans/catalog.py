@@ -246,7 +246,7 @@ def interval_merge(spark, sf_dir):
     return N.merge_intervals(A.points(spark, sf_dir).select("page", F.col("top").alias("lo"), F.col("bottom").alias("hi")), ["page"], 3.0)
 
 
-@query(f"""WITH {A.POINTS_SQL}, r AS (SELECT page, x0, lag(x0) OVER (PARTITION BY page ORDER BY x0) AS p FROM words), g AS (SELECT *, sum(CASE WHEN p IS NULL OR x0 - p > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY x0 ROWS UNBOUNDED PRECEDING) - 1 AS cluster FROM r)
+@query(f"""WITH {A.POINTS_SQL}, r AS (SELECT page, x0, lag(x0) OVER (PARTITION BY page ORDER BY x0) AS p FROM words), g AS (SELECT *, sum(CASE WHEN p IS NULL OR x0 - p > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY x0 RANGE UNBOUNDED PRECEDING) - 1 AS cluster FROM r)
 SELECT page, CAST(cluster AS BIGINT) AS cluster, avg(x0) AS centre, min(x0) AS lo, max(x0) AS hi, count(*) AS n FROM g GROUP BY page, cluster""")
 def coordinate_clusters(spark, sf_dir):
     return N.cluster_values(A.points(spark, sf_dir), ["page"], "x0", 2.0)
@@ -466,13 +466,17 @@ def doc_types(spark, sf_dir):
     return K.detect_types(A.form_pages(spark, sf_dir)).select("doc", "page", "doc_type", "confidence")
 
 
-@query("""SELECT doc_id, length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS letters, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS latin, length(regexp_replace(text, '[^\\x{0400}-\\x{04FF}]', '', 'g')) AS cyrillic,
-  n_chars >= 50 AND length(regexp_replace(text, '[^\\p{L}]', '', 'g')) >= 80 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 0.55 * length(regexp_replace(text, '[^\\p{L}]', '', 'g'))
-  AND length(regexp_replace(text, '[^\\x{0400}-\\x{04FF}]', '', 'g')) <= 0.2 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS latin_page FROM documents""")
+_MIXED = "CASE WHEN doc_id % 3 = 0 THEN translate(text, 'abehiorst', 'авенюорст') ELSE text END"
+
+
+@query(f"""WITH d AS (SELECT doc_id, n_chars, {_MIXED} AS text FROM documents), n AS (SELECT doc_id, n_chars, length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS latin, length(regexp_replace(text, '[^\\x{{0400}}-\\x{{04FF}}]', '', 'g')) AS cyrillic FROM d)
+SELECT doc_id, letters, latin, cyrillic, n_chars >= 50 AND letters >= 80 AND latin >= 0.55 * letters AND cyrillic <= 0.2 * letters AS latin_page FROM n""")
 def letter_shares(spark, sf_dir):
+    """Letters of two alphabets; a third of the texts mixes them."""
+    docs = A.relation(spark, sf_dir, f"SELECT doc_id, n_chars, {_MIXED} AS text FROM documents")
     n = K.letter_counts(F.col("text"))
     latin = (F.col("n_chars") >= 50) & (n["letters"] >= 80) & (n["latin"] >= 0.55 * n["letters"]) & (n["cyrillic"] <= 0.2 * n["letters"])
-    return A.table(spark, sf_dir, "documents").select("doc_id", *[n[k].alias(k) for k in ("letters", "latin", "cyrillic")], latin.alias("latin_page"))
+    return docs.select("doc_id", *[n[k].alias(k) for k in ("letters", "latin", "cyrillic")], latin.alias("latin_page"))
 
 
 @query()

@@ -211,10 +211,11 @@ def camelot_slots(spark, sf_dir):
     return P.camelot_slots(cells, ["page"]).select("page", "row", "col", "bbox.x0", "bbox.top", "bbox.x1", "bbox.bottom")
 
 
-@query(f"WITH {A.BOXES_SQL}, a AS (SELECT *, (bx1 - bx0) * (bbottom - btop) AS area FROM boxes) SELECT page, CAST(arg_max(table_id, area * 100 - table_id) AS INTEGER) AS table_id, max(area) AS area FROM a GROUP BY page")
+@query(f"WITH {A.BOXES_SQL}, a AS (SELECT *, (bx1 + CASE WHEN table_id = page % 4 THEN 50 ELSE 0 END - bx0) * (bbottom - btop) AS area FROM boxes) SELECT page, CAST(arg_max(table_id, area * 100 - table_id) AS INTEGER) AS table_id, CAST(max(area) AS DOUBLE) AS area FROM a GROUP BY page")
 def largest_tables(spark, sf_dir):
-    """The largest box of each page."""
-    return P.largest(A.boxes(spark, sf_dir), ["page"])
+    """The largest box of each page; one of them is wider."""
+    wide = F.when(F.col("table_id") == F.col("page") % 4, 50.0).otherwise(0.0)
+    return P.largest(A.boxes(spark, sf_dir).withColumn("bbox", F.col("bbox").withField("x1", F.col("bbox.x1") + wide)), ["page"])
 
 
 @query(f"WITH {A.WORDS_SQL}, d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 30) WHEN doc_id % 3 = 1 THEN NULL ELSE text END AS t FROM documents), w AS (SELECT doc_id, string_agg(text, ' ' ORDER BY word_id) AS ws FROM words GROUP BY doc_id) SELECT doc_id, CASE WHEN length(coalesce(t, '')) >= 40 THEN t ELSE coalesce(ws, '') END AS text FROM d LEFT JOIN w USING (doc_id)")
@@ -244,11 +245,11 @@ def codes_near(spark, sf_dir):
     return P.codes_above(words, blocks, KEY).select("table_key", "word_id", "line", "side")
 
 
-@query(f"""WITH {A.FORM_WORDS_SQL}, b AS (SELECT table_key, min(x0) AS x0, greatest(max(CAST(60.0 AS DOUBLE)) - 2, max(CAST(table_key % 90 AS DOUBLE)) - 2) AS top, max(x1) AS x1, max(bottom) AS bottom FROM words WHERE top >= 55 AND top >= table_key % 90 - 2 GROUP BY table_key)
+@query(f"""WITH {A.FORM_WORDS_SQL}, b AS (SELECT table_key, min(x0 + table_key % 7) AS x0, greatest(max(CAST(60.0 AS DOUBLE)) - 2, max(CAST(table_key % 90 AS DOUBLE)) - 2) AS top, max(x1) AS x1, max(bottom) AS bottom FROM words WHERE top >= 55 AND top >= table_key % 90 - 2 GROUP BY table_key)
 SELECT table_key, CAST(x0 AS DOUBLE) AS x0, top, CAST(x1 AS DOUBLE) AS x1, CAST(bottom AS DOUBLE) AS bottom FROM b WHERE x1 > x0 AND bottom > top""")
 def regions_below(spark, sf_dir):
     """Where borderless tables may lie below the others."""
-    words = A.form_words(spark, sf_dir).select("table_key", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "top", "bottom")])
+    words = A.form_words(spark, sf_dir).select("table_key", *[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "top", "bottom")]).withColumn("x0", F.col("x0") + F.col("table_key") % 7)
     pages = words.select("table_key").distinct()
     existing = pages.withColumn("bbox", F.struct(F.lit(60.0).alias("bottom")))
     return P.supplementary_region(words, existing, pages.withColumn("start_top", (F.col("table_key") % 90).cast("double")), KEY)
@@ -341,15 +342,15 @@ def layout_bands(spark, sf_dir):
     return ST.split_layouts(cells, bands, layouts, KEY).select("table_key", "band", "row", "col", "text")
 
 
-@query(f"""WITH {A.FORMS_SQL}, v AS (SELECT * FROM forms WHERE {SEE}), u AS (SELECT DISTINCT table_key, unnest(range(col, col + colspan)) AS col FROM v), uc AS (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY col) - 1 AS nc FROM u),
+@query(f"""WITH {A.FORMS_SQL}, tall AS (SELECT * REPLACE (CASE WHEN col = 3 AND row % 4 = 0 AND NOT covered THEN 3 ELSE rowspan END AS rowspan) FROM forms), v AS (SELECT * FROM tall WHERE {SEE}), u AS (SELECT DISTINCT table_key, unnest(range(col, col + colspan)) AS col FROM v), uc AS (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY col) - 1 AS nc FROM u),
 ur AS (SELECT table_key, row, row_number() OVER (PARTITION BY table_key ORDER BY row) - 1 AS nr FROM (SELECT DISTINCT table_key, row FROM v)), h AS (SELECT table_key, count(*) AS h FROM ur GROUP BY table_key)
 SELECT f.table_key, CAST(nr AS INTEGER) AS row, CAST(nc AS INTEGER) AS col, text, CAST(least(rowspan, h - nr) AS INTEGER) AS rowspan, CAST((SELECT count(*) FROM u WHERE u.table_key = f.table_key AND u.col >= f.col AND u.col < f.col + f.colspan) AS INTEGER) AS colspan
-FROM forms f JOIN ur USING (table_key, row) JOIN uc ON f.table_key = uc.table_key AND f.col = uc.col JOIN h ON f.table_key = h.table_key""")
+FROM tall f JOIN ur USING (table_key, row) JOIN uc ON f.table_key = uc.table_key AND f.col = uc.col JOIN h ON f.table_key = h.table_key""")
 def compact_forms(spark, sf_dir):
     """Forms without their empty rows and columns, spans cut to what is kept."""
     from ..operators import folds as D
 
-    cells = A.form_cells(spark, sf_dir)
+    cells = A.form_cells(spark, sf_dir).withColumn("rowspan", F.when((F.col("col") == 3) & (F.col("row") % 4 == 0) & ~F.col("covered"), 3).otherwise(F.col("rowspan")))
     return D.rewrite(cells, KEY, D.compact).select("table_key", "row", "col", "text", "rowspan", "colspan")
 
 
