@@ -149,9 +149,10 @@ def running_blocks(spark, sf_dir):
     return N.running_blocks(A.points(spark, sf_dir).withColumn("seq", F.col("word_id")), ["page"]).select("page", "word_id", "block")
 
 
-@query()
+@query(f"""WITH {A.POINTS_SQL}, h AS (SELECT page, list_reduce(list(CAST(top AS DOUBLE) ORDER BY top), lambda a, x: CASE WHEN len(a) = 0 OR x - a[len(a)] > 6 THEN list_append(a, x) ELSE a END, CAST([] AS DOUBLE[])) AS heads FROM words GROUP BY page)
+SELECT page, word_id, CAST(len(list_filter(heads, lambda y: y <= CAST(top AS DOUBLE))) - 1 AS INTEGER) AS "group" FROM words JOIN h USING (page)""")
 def anchored_bands(spark, sf_dir):
-    """Bands anchored to their first word: an ordered fold, tested against plain loops."""
+    """Bands anchored to their first word: an ordered fold."""
     return N.anchored_groups(A.points(spark, sf_dir), ["page"], ["top", "x0", "word_id"], "top", 6.0).select("page", "word_id", "group")
 
 
@@ -590,7 +591,10 @@ def balance_shift(spark, sf_dir):
     return D.rewrite(_grid(spark, sf_dir), KEY, D.shift_balance_sections)
 
 
-@query()
+@query(f"""WITH {A.CELLS_SQL}, v AS (SELECT * FROM cells WHERE {SEE}), u AS (SELECT DISTINCT table_key, unnest(range(col, col + greatest(colspan, 1))) AS col FROM v), uc AS (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY col) - 1 AS nc FROM u),
+ur AS (SELECT table_key, row, row_number() OVER (PARTITION BY table_key ORDER BY row) - 1 AS nr FROM (SELECT DISTINCT table_key, row FROM v) AS z), h AS (SELECT table_key, count(*) AS h FROM ur GROUP BY table_key)
+SELECT c.table_key, CAST(nr AS INTEGER) AS row, CAST(nc AS INTEGER) AS col, text, CAST(least(rowspan, h - nr) AS INTEGER) AS rowspan, CAST((SELECT count(*) FROM u WHERE u.table_key = c.table_key AND u.col >= c.col AND u.col < c.col + c.colspan) AS INTEGER) AS colspan
+FROM cells c JOIN ur USING (table_key, row) JOIN uc ON c.table_key = uc.table_key AND c.col = uc.col JOIN h ON c.table_key = h.table_key""")
 def compact_grid(spark, sf_dir):
     return G.compact(A.cells(spark, sf_dir), KEY).select("table_key", "row", "col", "text", "rowspan", "colspan")
 

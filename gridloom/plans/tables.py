@@ -10,6 +10,7 @@ from ..operators import pages as P
 from ..operators import shapes as S
 from ..operators import statements as ST
 from . import adapters as A
+from . import catalog
 from .catalog import KEY, SEE, SQL, numeric, query, value
 
 
@@ -369,6 +370,10 @@ def rendered_forms(spark, sf_dir):
     return R.table_html(A.form_cells(spark, sf_dir), KEY)
 
 
+# the same for the other relation of cells
+SQL["render_table"] = SQL["rendered_forms"].replace(SQL["header_rows"], SQL["header_rows"].replace(catalog._FORM_SIGNALS, catalog._SIGNALS)).replace(f"WITH {A.FORMS_SQL}, c AS", f"WITH {A.CELLS_SQL}, c AS").replace("FROM forms)", "FROM cells)")
+
+
 _SEGMENTS = "SELECT l_orderkey AS page, l_linenumber % 2 = 0 AS h, CAST(l_suppkey AS DOUBLE) AS pos, CAST(l_partkey % 300 AS DOUBLE) AS lo, CAST(l_partkey % 300 + 10 + l_quantity AS DOUBLE) AS hi FROM lineitem"
 
 
