@@ -71,3 +71,42 @@ def test_doc_ids_of_text(spark):
     rows = corpus(60)
     docs = spark.createDataFrame([(f"d{i}", t) for i, t, _ in rows], "doc_id string, text string")
     assert len(keep_good(docs, spark.createDataFrame([(f"d{i}", q) for i, _, q in rows], "doc_id string, quality int")).collect()) >= 40
+
+
+def plain_score(text, model):
+    """The score by loops over the characters."""
+    from gridloom.llm.quality import ODD
+
+    wide = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & wide
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & wide
+        return x ^ x >> 31
+
+    odd, shift, ids = int(ODD), 64 - model.settings.buckets.bit_length() + 1, []
+    x = [32, *(32 if c.isspace() else ord(c) for c in text), 32]
+    for n in model.settings.grams:
+        for i in range(len(x) - n + 1):
+            if 32 not in x[i + 1 : i + n - 1]:
+                r = x[i]
+                for c in x[i + 1 : i + n]:
+                    r = (r * 0x100000001B3 + c) & wide
+                ids.append(((r + n) * odd & wide) >> shift)
+    last = None
+    for word in text.split():
+        h = mixed(sum(mixed((ord(c) + i * odd) & wide) for i, c in enumerate(word)) & wide)
+        ids += [h >> shift] + [0] * (h == last)
+        last = h
+    z = model.bias + sum(float(model.table[i]) for i in ids) / max(len(ids), 1)
+    return 1 / (1 + 2.718281828459045**-z)
+
+
+def test_scores_like_plain_loops():
+    from gridloom.llm.quality import score_all, train
+
+    rows = [("good words in a row " * 3, 1), ("spam spam spam buy buy", 0), ("été 漢字 and more", 1), ("xx xx xx xx", 0)] * 5
+    model = train(rows)
+    texts = ["", " ", "a", "good spam", "spam spam\tspam\n été", "one two  two 漢字 漢字", *[t for t, _ in rows[:4]]]
+    for t, s in zip(texts, score_all(texts, model), strict=True):
+        assert abs(s - plain_score(t, model)) < 1e-6, t
