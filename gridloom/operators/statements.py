@@ -34,6 +34,20 @@ def mashed_header(texts: Column, first: Column) -> Column:
     return S.line_code_row(texts) & (hits >= 3)
 
 
+def blank_mashed_headers(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells without the header words that slid into the first cell of a code row; the other cells stay."""
+    rows = S.rows_of(cells, keys)
+    hit = rows.where(F.size("texts") > 0).where(mashed_header(F.col("texts"), F.get("texts", F.lit(0)))).select(*keys, "row", F.lit(True).alias("_mashed"))
+    out = cells.join(hit, [*keys, "row"], "left")
+    return out.withColumn("text", F.when(F.coalesce("_mashed", F.lit(False)) & (F.col("col") == 0), "").otherwise(F.col("text"))).drop("_mashed")
+
+
+def strip_titles(rows: DataFrame, name: str = "joined") -> DataFrame:
+    """Rows without the section title that their text ends in, and that title as ``title`` (empty if there is none)."""
+    title = T.section_title(F.col(name))
+    return rows.withColumn("title", title).withColumn(name, F.when(F.col("title") != "", T.strip(F.replace(name, "title", F.lit("")))).otherwise(F.col(name)))
+
+
 def sheet_regions(rows: DataFrame, keys: list[str], least: float = 1.5, gap: int = 1) -> DataFrame:
     """Rows (row, score, bordered) of sheets to regions: keys, region, first_row, last_row.
 

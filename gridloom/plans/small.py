@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..functions import geometry as GEO
 from ..functions import text as T
 from ..operators import classify as K
@@ -11,6 +12,8 @@ from ..operators import grid as G
 from ..operators import joins as J
 from ..operators import ordered as N
 from ..operators import render as R
+from ..operators import shapes as S
+from ..operators import statements as ST
 from ..sources import raster
 from . import adapters as A
 from .catalog import KEY, LETTER, SEE, numeric, query
@@ -167,3 +170,26 @@ def json_results(spark, sf_dir):
     """Results as JSON objects."""
     each = A.form_cells(spark, sf_dir).groupBy("table_key").agg(F.max("kind").alias("kind"), F.sum(G.visible().cast("int")).alias("filled"))
     return R.result_json(each, KEY)
+
+
+_SLID = "CASE WHEN col = 0 AND row % 3 = 0 AND text <> '' THEN concat(text, ' Код строки Наименование за период') ELSE text END"
+
+
+@query(f"""WITH {A.FORMS_SQL}, f AS (SELECT table_key, row, col, covered, {_SLID} AS text FROM forms), r AS (SELECT table_key, row, list(trim(text) ORDER BY col) FILTER ({SEE}) AS t FROM f GROUP BY table_key, row),
+m AS (SELECT table_key, row, len(list_filter(t, lambda x: regexp_full_match(x, '[0-9]{{4}}'))) > 0 AND ({" + ".join(f"CAST(contains(lower(t[1]), '{w}') AS INT)" for w in C.MASHED)}) >= 3 AS mashed FROM r)
+SELECT table_key, row, col, CASE WHEN col = 0 AND coalesce(mashed, FALSE) THEN '' ELSE text END AS text FROM f JOIN m USING (table_key, row)""")
+def blanked_headers(spark, sf_dir):
+    """Code rows without the header that slid into their first cell."""
+    cells = A.form_cells(spark, sf_dir).withColumn("text", F.expr(_SLID))
+    return ST.blank_mashed_headers(cells, KEY).select("table_key", "row", "col", "text")
+
+
+_ENDS = "CASE WHEN row % 3 = 0 THEN concat(j, ' 2.1. Наличие и движение запасов') ELSE j END"
+
+
+@query(f"""WITH {A.FORMS_SQL}, r AS (SELECT table_key, row, array_to_string(coalesce(list(trim(text) ORDER BY col) FILTER ({SEE}), CAST([] AS VARCHAR[])), ' ') AS j FROM forms GROUP BY table_key, row), x AS (SELECT table_key, row, {_ENDS} AS j FROM r), y AS (SELECT *, regexp_extract(j, '(\\d+\\.\\d+(?:\\.\\d+)?\\.?\\s+\\p{{Lu}}[^.]{{4,119}})', 1) AS title FROM x)
+SELECT table_key, row, title, CASE WHEN title <> '' THEN trim(replace(j, title, '')) ELSE j END AS joined FROM y""")
+def stripped_titles(spark, sf_dir):
+    """Rows without the section titles that they end in."""
+    rows = S.rows_of(A.form_cells(spark, sf_dir), KEY).withColumn("j", F.col("joined")).withColumn("joined", F.expr(_ENDS))
+    return ST.strip_titles(rows).select("table_key", "row", "title", "joined")
