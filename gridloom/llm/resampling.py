@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import each_batch, read, short_batches, slices, spool, text_of
+from .common import each_batch, read, short_batches, slices, small_reads, spool, text_of
 
 WORDS = K.classes(0x30)
 FULL = np.uint32(0xFFFFFFFF)
@@ -38,6 +38,8 @@ FULL = np.uint32(0xFFFFFFFF)
 SHORT = 64
 #: Bytes of a long text that are looked at together.
 PIECE = 1 << 20
+#: Blocks of the matrix, some 0.3 MB each, that a task reads and sends to Python together.
+BLOCKS = 16
 
 
 @dataclass(frozen=True)
@@ -177,7 +179,7 @@ def column_sums(matrix: DataFrame, buckets: int) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
-    with short_batches(matrix.sparkSession, 100):
+    with short_batches(matrix.sparkSession, BLOCKS), small_reads(matrix.sparkSession, BLOCKS):
         found = matrix.select("indices", "counts").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(buckets, np.int64)
     for r in found:
@@ -240,7 +242,7 @@ def resample(documents: DataFrame, target: DataFrame, how: Resampling = Resampli
     gain = gains(column_sums(matrix, how.buckets), column_sums(aim, how.buckets))
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{how.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(-1000.0 * F.log(-F.log((h + 0.5) / F.lit(4294967296.0))))
-    with short_batches(documents.sparkSession, 100):
+    with short_batches(documents.sparkSession, BLOCKS), small_reads(documents.sparkSession, BLOCKS):
         scored = spool(weights(matrix, gain).withColumn("score", F.col("weight") + noise), "scored")
     may = F.col("n_features") >= 2 * how.least - 1
     return ranked(scored, may, how.percent * scored.where(may).count() // 100)
