@@ -59,3 +59,11 @@ def test_tables_are_dealt_out_once(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found and not [x for x in found if "REPARTITION_BY_COL" in x or re.search(r"hashpartitioning\(\w+#\d+L?, \w+#", x)], found
+
+
+@here
+def test_cases_of_numbers_come_from_orders(spark):
+    """One text for each order, of all eleven kinds."""
+    found = catalog.QUERIES["numeric_text_cases"](spark, str(DATA))
+    assert found.count() == A.table(spark, str(DATA), "orders").count()
+    assert found.selectExpr("o_orderkey % 11").distinct().count() == 11
