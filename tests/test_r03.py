@@ -67,3 +67,17 @@ def test_cases_of_numbers_come_from_orders(spark):
     found = catalog.QUERIES["numeric_text_cases"](spark, str(DATA))
     assert found.count() == A.table(spark, str(DATA), "orders").count()
     assert found.selectExpr("o_orderkey % 11").distinct().count() == 11
+
+
+@here
+@pytest.mark.parametrize("name", ["augmented_rows", "built_cells", "code_stack_rows", "codes_near"])
+def test_exploded_rows_are_not_broadcast(spark, name):
+    """The estimate of rows made from line items is that of their file: a join must not send them through the driver."""
+    assert "BroadcastExchange" not in catalog.QUERIES[name](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_tables_are_not_broadcast(spark):
+    from gridloom.storage import spool_large
+
+    joined = spark.range(9).join(spool_large(spark.range(3), "large").groupBy("id").count(), "id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 3
