@@ -3,11 +3,16 @@
 A text is the sequence of its words, runs of letters. Each word is looked up by its hash in a table of learned
 vectors, and so are its first ``stem`` bytes, whose vector is added, or stands alone for words that are too rare;
 filters of several widths run over the sequence, each filter's highest value in the whole text is kept,
-and a softmax layer over those gives the classes. All is trained in numpy by gradient steps on a bounded sample
-of labelled rows (``most`` of each class by a hash of the doc_id, ``letters`` characters in all), one for each
-different text. A fifth of the sample isn't trained on: it gives one shift of all scores, so that 0.3 is where
-toxic and other documents part best, and a threshold for each language where the sample has enough toxic rows.
-The language is used for thresholds alone, never for a score.
+and a softmax layer over those gives the classes. All is trained in numpy by gradient steps on every labelled row
+that may be learned, one for each different text. A fifth of each class isn't trained on: it gives one shift of all
+scores, so that 0.3 is where toxic and other documents part best, and a threshold for each language with enough toxic
+rows there. The language is used for thresholds alone, never for a score.
+
+Training runs in ``epochs`` rounds. The rows lie in as many parts; small tables have all parts in each round, larger
+ones fewer, down to one (``turns``), so that every row is learned from equally often, once at least. In a round each
+task steps through its own rows from the same model, some ``most`` rows, and the driver takes the mean of what they
+give, one after the other. Words' document counts, bags of words' numbers and the scores of the fifth, as a histogram
+of logits, come from Spark; the driver holds the known words and the model only.
 
 Scoring is a product of a slice's word vectors with all filters, sums of shifted columns, and a maximum for each
 text; a long text is taken in pieces that overlap by a filter's width.
@@ -20,16 +25,19 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from . import kernels as K
-from .common import each_batch, read, slices, text_of
+from .common import discard, each_batch, read, slices, spool, text_of
 
 LETTERS = K.classes(0x3A)
 #: Score at which a document counts as toxic.
@@ -37,6 +45,8 @@ CUT = 0.3
 #: Slots of the table in which words are looked up.
 SLOTS = 1 << 20
 PIECE = 1 << 20
+#: Bits of the map of wanted rows.
+SPOTS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -49,10 +59,9 @@ class Settings:
     #: Share of a text's words that a training step doesn't see.
     blank: float = 0.5
     decay: float = 1e-3
-    #: Labelled rows of each class, and characters of all their texts, that training takes at most.
+    #: Rows that one task steps through in a round, about; more rows are more tasks.
     most: int = 2000
-    letters: int = 64_000_000
-    #: Texts of the sample that must hold a word for it to have a vector: this many, and one in ``share``.
+    #: Labelled texts that must hold a word for it to have a vector: this many, and one in ``share``.
     least: int = 3
     share: int = 400
     stem: int = 5
@@ -168,57 +177,82 @@ def score_long(hashes: np.ndarray, model: Model, lookup: Lookup, size: int = 1 <
     return float(_probability(_logits(best[None, :], model))[0])
 
 
-def _trained(bags: list[np.ndarray], classes: np.ndarray, known: np.ndarray, how: Settings) -> Model:
-    """Gradient steps on one text at a time, each number's size fitted to the gradients it has had."""
+def _start(known: np.ndarray, how: Settings) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """A model's arrays before any step (vectors, kernels, biases, out, base), and their gradients' sums of squares."""
     rng = np.random.default_rng(how.seed)
-    f, pad = how.filters, max(how.widths)
+    f = how.filters
     draw = lambda *n: rng.normal(0, 1 / np.sqrt(how.dim), n).astype(np.float32)
     vectors = draw(len(known) + 1, how.dim)
     vectors[0] = 0
     kernels = [draw(w, how.dim, f) / np.float32(w) for w in how.widths]
-    biases, out = np.zeros(f * len(how.widths), np.float32), draw(f * len(how.widths))
-    model = Model(how, known, vectors, kernels, biases, out, 0.0)
-    base = np.zeros(1, np.float32)
-    seen = [np.full_like(x, 1e-3) for x in (vectors, *kernels, biases, out, base)]
+    arrays = [vectors, *kernels, np.zeros(f * len(how.widths), np.float32), draw(f * len(how.widths)), np.zeros(1, np.float32)]
+    return arrays, [np.full_like(x, 1e-3) for x in arrays]
+
+
+def _steps(bags: Iterable[tuple[np.ndarray, int]], arrays: list[np.ndarray], seen: list[np.ndarray], weight: np.ndarray, how: Settings, rng: np.random.Generator) -> tuple[np.ndarray, int]:
+    """A gradient step on each (bag, class), in place, each number's size fitted to the gradients it has had; which vectors changed, and how many steps."""
+    f, pad = how.filters, max(how.widths)
+    vectors, *kernels, biases, out, base = arrays
+    model = Model(how, np.zeros(0), vectors, kernels, biases, out, 0.0)
+    changed, steps = np.zeros(len(vectors), bool), 0
 
     def step(x, g, past, at=slice(None)):
         past[at] += g * g
         x[at] -= how.rate * g / np.sqrt(past[at])
 
-    weight = len(classes) / np.maximum(2 * np.bincount(classes, minlength=2), 1)
-    for _ in range(how.epochs):
-        for i in rng.permutation(len(bags)):
-            ids = np.where(rng.random((len(bags[i]), 1)) < how.blank, 0, bags[i])
-            ids = np.concatenate([ids, np.zeros((2 * pad - 1, 2), ids.dtype)])
-            x = vectors[ids[:, 0]] + vectors[ids[:, 1]]
-            values = _windows(x, model)
-            tops = [v.argmax(axis=0) for v in values]
-            pooled = np.concatenate([v[t, np.arange(f)] for v, t in zip(values, tops, strict=True)]) + biases
-            hidden = np.maximum(pooled, 0)
-            error = np.float32((_probability(hidden @ out + base)[0] - classes[i]) * weight[classes[i]])
-            back = error * out * (pooled > 0)
-            step(out, error * hidden + how.decay * out, seen[-2])
-            step(base, error, seen[-1])
-            step(biases, back, seen[-3])
-            rows, pulls = [], []
-            for n, (width, top) in enumerate(zip(how.widths, tops, strict=True)):
-                own = back[n * f : (n + 1) * f]
-                places = top[None, :] + np.arange(width)[:, None]  # (width, filter)
-                pull = (kernels[n].transpose(0, 2, 1) * own[None, :, None]).reshape(-1, how.dim)
-                rows += [ids[places, 0].ravel(), ids[places, 1].ravel()]
-                pulls += [pull, pull]
-                step(kernels[n], x[places].transpose(0, 2, 1) * own[None, None, :] + how.decay * kernels[n], seen[1 + n])
-            rows, pulls = np.concatenate(rows), np.concatenate(pulls)
-            each, back_to = np.unique(rows, return_inverse=True)
-            total = np.zeros((len(each), how.dim), np.float32)
-            np.add.at(total, back_to, pulls)
-            keep = each > 0
-            step(vectors, total[keep] + how.decay * vectors[each[keep]], seen[0], each[keep])
-    model.base = float(base[0])
-    pairs = np.unique(np.concatenate(bags), axis=0)
+    for bag, y in bags:
+        steps += 1
+        ids = np.where(rng.random((len(bag), 1)) < how.blank, 0, bag)
+        ids = np.concatenate([ids, np.zeros((2 * pad - 1, 2), ids.dtype)])
+        x = vectors[ids[:, 0]] + vectors[ids[:, 1]]
+        values = _windows(x, model)
+        tops = [v.argmax(axis=0) for v in values]
+        pooled = np.concatenate([v[t, np.arange(f)] for v, t in zip(values, tops, strict=True)]) + biases
+        hidden = np.maximum(pooled, 0)
+        error = np.float32((_probability(hidden @ out + base)[0] - y) * weight[y])
+        back = error * out * (pooled > 0)
+        step(out, error * hidden + how.decay * out, seen[-2])
+        step(base, error, seen[-1])
+        step(biases, back, seen[-3])
+        rows, pulls = [], []
+        for n, (width, top) in enumerate(zip(how.widths, tops, strict=True)):
+            own = back[n * f : (n + 1) * f]
+            places = top[None, :] + np.arange(width)[:, None]  # (width, filter)
+            pull = (kernels[n].transpose(0, 2, 1) * own[None, :, None]).reshape(-1, how.dim)
+            rows += [ids[places, 0].ravel(), ids[places, 1].ravel()]
+            pulls += [pull, pull]
+            step(kernels[n], x[places].transpose(0, 2, 1) * own[None, None, :] + how.decay * kernels[n], seen[1 + n])
+        rows, pulls = np.concatenate(rows), np.concatenate(pulls)
+        each, back_to = np.unique(rows, return_inverse=True)
+        total = np.zeros((len(each), how.dim), np.float32)
+        np.add.at(total, back_to, pulls)
+        keep = each > 0
+        changed[each[keep]] = True
+        step(vectors, total[keep] + how.decay * vectors[each[keep]], seen[0], each[keep])
+    return changed, steps
+
+
+def _class_weights(sizes: np.ndarray) -> np.ndarray:
+    return sizes.sum() / np.maximum(2 * sizes, 1)
+
+
+def _model(known: np.ndarray, arrays: list[np.ndarray], pairs: np.ndarray, how: Settings) -> Model:
+    """The model of trained arrays; pairs: numbers of words and their stems, whose vectors are added."""
+    vectors, *kernels, biases, out, base = arrays
+    pairs = np.unique(pairs, axis=0)
     pairs = pairs[pairs[:, 0] > 0]
     vectors[pairs[:, 0]] += vectors[pairs[:, 1]]
-    return model
+    return Model(how, known, vectors, kernels, biases, out, float(base[0]))
+
+
+def _trained(bags: list[np.ndarray], classes: np.ndarray, known: np.ndarray, how: Settings) -> Model:
+    """Gradient steps on one text at a time."""
+    arrays, seen = _start(known, how)
+    rng = np.random.default_rng(how.seed)
+    weight = _class_weights(np.bincount(classes, minlength=2))
+    for _ in range(how.epochs):
+        _steps(((bags[i], classes[i]) for i in rng.permutation(len(bags))), arrays, seen, weight, how, rng)
+    return _model(known, arrays, np.concatenate(bags), how)
 
 
 def _best_cut(scores: np.ndarray, classes: np.ndarray, weights: np.ndarray) -> float:
@@ -270,26 +304,185 @@ def train(rows: list[tuple[str, int, str | None]], prior: float = 0.5, how: Sett
     return model
 
 
-def sample(documents: DataFrame, labels: DataFrame, how: Settings) -> tuple[list[tuple[str, int, str | None]], float]:
-    """At most how.most rows (text, class, language) of each class, chosen by a hash of the doc_id; and the share of class 1 among all labels that may be learned."""
+def _marked(rows: DataFrame) -> np.ndarray:
+    """A bitmap, of fixed size, of the rows' ``spot``."""
+    bits = np.zeros(SPOTS // 8, np.uint8)
+    found = rows.groupBy(F.expr("spot div 32768").alias("at")).agg(F.bitmap_construct_agg(F.expr("spot % 32768")).alias("bits")).toArrow()
+    for at, own in zip(found.column("at").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        bits[at * 4096 : (at + 1) * 4096] = np.frombuffer(own, np.uint8)
+    return bits
+
+
+def labelled(documents: DataFrame, labels: DataFrame, how: Settings) -> tuple[DataFrame, dict[int, int]]:
+    """(hash, y, lang, text, apart, part) of every text that may be learned, copies once; and all such labels of each class.
+
+    apart: the fifth that isn't trained on. Which rows are wanted is found without their texts; a bitmap of those rows
+    leaves out most others before the texts are shuffled, the join leaves out the rest.
+    """
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("y")).where(F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        return [], 0.5
-    part = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(how.most)
-    picked = part(0).union(part(1)).collect()
-    small = documents.sparkSession.createDataFrame([(r["id"], r["y"]) for r in picked], known.schema)
-    own = documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string").alias("lang"))
-    found = own.join(F.broadcast(small), "id").withColumn("hash", F.xxhash64("text"))
-    # copies are learned from once; what is over how.letters goes, in the order of a hash
-    found = found.groupBy("y", "hash").agg(F.min_by(F.struct("text", "lang"), "id").alias("x"))
-    so_far = F.sum(F.length("x.text").cast("long")).over(Window.orderBy("hash", "y").rowsBetween(Window.unboundedPreceding, 0))
-    rows = found.withColumn("so_far", so_far).where(F.col("so_far") <= how.letters).select("x.text", "y", "x.lang").collect()
-    return [(r["text"], r["y"], r["lang"]) for r in rows], sizes[1] / (sizes[0] + sizes[1])
+    own = documents.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string").alias("lang"))
+    own = own.where("id IS NOT NULL").withColumn("hash", F.xxhash64("text"))
+    spot = F.pmod(F.xxhash64("id", "hash"), F.lit(SPOTS)).alias("spot")
+    wanted = spool(own.select("id", "hash").join(known, "id").groupBy("y", "hash").agg(F.min("id").alias("id")), "wanted")
+    sent = documents.sparkSession.sparkContext.broadcast(_marked(wanted.select(spot)))
+
+    def run(batches):
+        for batch in batches:
+            at = np.asarray(batch.column("spot"))
+            yield batch.filter(pa.array((sent.value[at >> 3] >> (at & 7)) & 1 == 1)).select(["id", "hash", "lang", "text"])
+
+    near = own.select("id", "hash", "lang", "text", spot).mapInArrow(run, "id long, hash long, lang string, text string")
+    found = near.join(wanted.hint("merge"), ["id", "hash"]).groupBy("id", "hash", "y").agg(F.min(F.struct("lang", "text")).alias("x"))
+    number = lambda seed, n: F.pmod(F.xxhash64("hash", F.lit(seed)), F.lit(n)).cast("int")
+    return found.select("hash", "y", "x.lang", "x.text", (number(how.seed, 5) == 0).alias("apart"), number(how.seed + 1, how.epochs).alias("part")), sizes
+
+
+def _words(batch: pa.RecordBatch, how: Settings) -> Iterable[np.ndarray]:
+    """The hashes of the words of each text of a batch."""
+    for _, _, data, offsets in slices(text_of(batch, "text")):
+        if len(data) > 4 * PIECE:
+            yield hashes_of(data.tobytes().decode("utf-8", "surrogatepass"), how.stem)
+        else:
+            hashes, counts = word_hashes(data, offsets, how.stem)
+            yield from np.split(hashes, np.cumsum(counts)[:-1])
+
+
+def known_words(rows: DataFrame, n: int, how: Settings) -> np.ndarray:
+    """Hashes of the words and stems that enough texts hold, most frequent first."""
+
+    def run(batches):
+        for batch in batches:
+            held = [np.zeros(0, np.int64), *[np.unique(x).view(np.int64) for x in _words(batch, how)]]
+            words, counts = np.unique(np.concatenate(held), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(counts, pa.int64())], ["word", "n"])
+
+    each = rows.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= max(how.least, n // how.share))
+    found = each.orderBy(F.desc("n"), "word").limit(SLOTS // 8).toArrow()
+    return np.asarray(found.column("word")).view(np.uint64) if found.num_rows else np.ones(1, np.uint64)
+
+
+def turns(n: int, how: Settings) -> int:
+    """In how many of the rounds each of n rows is: all if one task can have them, one at least."""
+    return min(how.epochs, max(1, how.epochs * 2 * how.most // max(n, 1)))
+
+
+def _round(sent, bags: DataFrame, number: int, weight: np.ndarray, how: Settings) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """One round of all tasks from the same model: the mean of their arrays, a word's vector of those tasks that changed it."""
+
+    def run(batches):
+        arrays, seen = ([x.copy() for x in part] for part in sent.value)
+        from pyspark import TaskContext
+
+        rng = np.random.default_rng([how.seed, number, TaskContext.get().partitionId()])
+
+        def rows():
+            for batch in batches:
+                words, classes = batch.column("bag").to_pylist(), batch.column("y").to_pylist()
+                for i in rng.permutation(len(words)):
+                    yield np.frombuffer(words[i], np.int32).reshape(-1, 2), classes[i]
+
+        changed, steps = _steps(rows(), arrays, seen, weight, how, rng)
+        if steps:
+            yield pa.RecordBatch.from_pydict({"arrays": [pickle.dumps((changed, arrays, seen))]})
+
+    total = past = times = None
+    n = 0
+    done = spool(bags.mapInArrow(run, "arrays binary"), "round")
+    for row in done.toLocalIterator():
+        changed, arrays, seen = pickle.loads(row["arrays"])
+        if total is None:
+            total, past, times = [np.zeros(x.shape) for x in arrays], [np.zeros(x.shape) for x in seen], np.zeros(len(changed))
+        times += changed
+        arrays[0][~changed] = seen[0][~changed] = 0
+        for t, x in zip([*total, *past], [*arrays, *seen], strict=True):
+            t += x
+        n += 1
+    discard(done)
+    if not n:
+        return sent.value
+    arrays, seen = [t / n for t in total], [t / n for t in past]
+    for out, t, old in ((arrays, total, sent.value[0]), (seen, past, sent.value[1])):
+        out[0] = np.where(times[:, None] > 0, t[0] / np.maximum(times, 1)[:, None], old[0])
+    return [x.astype(np.float32) for x in arrays], [x.astype(np.float32) for x in seen]
+
+
+def calibrated(model: Model, held: DataFrame, prior: float) -> Model:
+    """The model with its shift and thresholds by all rows of held (text, y, lang); logits are told apart to a 256th."""
+    sent, how = held.sparkSession.sparkContext.broadcast(model), model.settings
+
+    def run(batches):
+        lookup = Lookup(sent.value.words)
+        for batch in batches:
+            p = np.clip([score_long(x, sent.value, lookup) for x in _words(batch, how)], 1e-12, 1 - 1e-12)
+            z = np.round(np.log(p / (1 - p)) * 256) / 256
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pc.fill_null(batch.column("lang"), ""), pa.array(z, pa.float64())], ["y", "lang", "z"])
+
+    found = held.select("text", "y", "lang").mapInArrow(run, "y int, lang string, z double").groupBy("lang", "y", "z").agg(F.count("*").alias("n")).toArrow()
+    z, y, n = (np.asarray(found.column(c)) for c in ("z", "y", "n"))
+    langs = np.array(found.column("lang").to_pylist(), object)
+    share = n[y == 1].sum() / max(n.sum(), 1)
+    # the classes weigh as they occur among labels, not as their different texts do
+    weights = n * np.where(y == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
+    model.shift = float(np.log(CUT / (1 - CUT)) - _best_cut(z, y, weights))
+    model.thresholds = {}
+    for lang in sorted(set(langs.tolist())):
+        own = langs == lang
+        if n[own & (y == 1)].sum() >= 20 and n[own & (y == 0)].sum() >= 20:
+            model.thresholds[lang] = float(_probability(np.array(_best_cut(z[own], y[own], weights[own]) + model.shift)))
+    return model
 
 
 def fit(documents: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Model:
-    return train(*sample(documents, labels, how), how)
+    """A model of every labelled row that may be learned."""
+    rows, sizes = labelled(documents, labels, how)
+    if len(sizes) < 2:
+        return train([], how=how)
+    rows = spool(rows, "labelled", "part")
+    count = {(r["y"], r["apart"]): r["n"] for r in rows.groupBy("y", "apart").agg(F.count("*").alias("n")).collect()}
+    fitted, learned = np.array([count.get((y, False), 0) for y in (0, 1)]), rows.where("NOT apart")
+    if not fitted.all():  # a class of few rows, all apart
+        fitted, learned = fitted + [count.get((y, True), 0) for y in (0, 1)], rows
+    if not fitted.all():
+        discard(rows)
+        return train([], how=how)
+    known = known_words(rows, sum(count.values()), how)
+    sent = documents.sparkSession.sparkContext.broadcast(known)
+
+    def numbers(batches):
+        lookup = Lookup(sent.value)
+        for batch in batches:
+            found = [np.stack([lookup.each(h[:, 0]), lookup.each(h[:, 1])], axis=1).astype(np.int32).tobytes() for h in _words(batch, how)]
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("y"), pa.array(found, pa.binary()), batch.column("part")], ["hash", "y", "bag", "part"])
+
+    n, times = int(fitted.sum()), turns(int(fitted.sum()), how)
+    tasks = max(1, round(n * times / how.epochs / how.most))
+    bags = learned.select("hash", "y", "text", "part").mapInArrow(numbers, "hash long, y int, bag binary, part int").repartition(tasks, "hash").drop("hash")
+    bags = spool(bags, "bags", "part")
+    state = _start(known, how)
+    weight = _class_weights(fitted)
+    for number in range(how.epochs):
+        own = bags.where(F.col("part").isin([(number * times + i) % how.epochs for i in range(times)])).select("bag", "y")
+        state = _round(documents.sparkSession.sparkContext.broadcast(state), own.coalesce(tasks), number, weight, how)
+    model = _model(known, state[0], _pairs(bags), how)
+    # small tables are calibrated on all their rows
+    model = calibrated(model, rows.where("apart") if count.get((1, True), 0) >= 20 else rows, sizes[1] / (sizes[0] + sizes[1]))
+    discard(bags)
+    discard(rows)
+    return model
+
+
+def _pairs(bags: DataFrame) -> np.ndarray:
+    """The different pairs of numbers in all bags: no more than there are known words, as a word has one stem."""
+
+    def run(batches):
+        for batch in batches:
+            pairs = np.unique(np.concatenate([np.frombuffer(x, np.int32).reshape(-1, 2) for x in batch.column("bag").to_pylist()]), axis=0)
+            pairs = pairs[pairs[:, 0] > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["word", "stem"])
+
+    found = bags.select("bag").mapInArrow(run, "word int, stem int").distinct().toArrow()
+    return np.stack([np.asarray(found.column(c)) for c in ("word", "stem")], axis=1).reshape(-1, 2)
 
 
 def add_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:

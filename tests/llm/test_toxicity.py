@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gridloom.llm import kernels as K
-from gridloom.llm.toxicity import Lookup, Settings, add_score, fit, hashes_of, op12_toxicity, score_long, score_slice, threshold, train, word_hashes
+from gridloom.llm.toxicity import Lookup, Settings, add_score, fit, hashes_of, labelled, op12_toxicity, score_long, score_slice, threshold, train, turns, word_hashes
 
 WORD = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -108,3 +108,21 @@ def test_thresholds_by_language(spark, model):
     got = [r.t for r in df.select(threshold(model, df.lang).alias("t")).collect()]
     assert got == [model.thresholds.get("en", 0.3), model.thresholds.get("de", 0.3), 0.3, 0.3]
     assert Settings().most == 2000
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """All of some 18,000 labelled rows (a sample had 2000 of each class); each part of them is in as many rounds."""
+    rows = [(i, f"plain {'gronk ' if i % 2 else ''}w{i // 12} x{i}", "en") for i in range(24000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic")
+    how = Settings(share=10**9, epochs=5)
+    found, sizes = labelled(docs, labels, how)
+    learnable = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert found.count() == found.select("hash").distinct().count() == len(learnable) == sum(sizes.values())
+    for n in (10, 4000, 9000, 10**7):
+        t = turns(n, how)
+        parts = [(r * t + i) % how.epochs for r in range(how.epochs) for i in range(t)]
+        assert 1 <= t <= how.epochs and all(parts.count(p) == t for p in range(how.epochs))
+    model = fit(docs, labels, how)
+    got = add_score(spark.createDataFrame([("plain gronk",), ("plain",)], "text string"), model).collect()
+    assert got[0].score >= 0.3 > got[1].score
