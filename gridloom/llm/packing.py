@@ -8,7 +8,8 @@ all is padded, and a merge task gets a bounded number of ids.
 
 Tokenising: the vocabulary drops white space, so a text's ids are those of its pieces between ASCII white
 space; a bounded cache keeps the ids of pieces, and pieces it lacks are encoded many at once, with a
-separator between them.
+separator between them. A word of ASCII letters and the marks after it are encoded apart, so that a word is encoded once,
+whatever follows it.
 
 Edge cases: a null or empty text is just the end id. Repeated rows and doc_ids are packed as they come; a
 null doc_id stays null. An empty table gives an empty result.
@@ -33,6 +34,8 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 TYPES = [pa.int64()] * 7 + [pa.int32(), pa.binary()]
 MARK = "\x01"
+#: Marks at a word's end that are tokens of their own.
+ENDS = b".,;:!?"
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -78,7 +81,17 @@ class Encoder:
                 lacking.append(x)
             else:
                 own[x] = found
-        plain = [x for x in lacking if len(x) < 64 and b"\x01" not in x]
+        plain, ended = dict.fromkeys(x for x in lacking if len(x) < 64 and b"\x01" not in x), []
+        for x in [*plain]:
+            word = x.rstrip(ENDS)
+            if len(word) < len(x) and word.isalpha():  # ASCII letters: the pattern parts them from the marks after them
+                ended.append((x, word, x[len(word) :]))
+                del plain[x]
+        for _, *parts in ended:
+            for y in parts:
+                if y not in own and y not in cache:
+                    plain[y] = None
+        plain = [*plain]
         runs = [plain[j : j + 500] for j in range(0, len(plain), 500)]
         for run, ids in zip(runs, self._ids([f" {MARK} ".join([x.decode() for x in run]) for run in runs]), strict=True):
             raw, at = ids.tobytes(), 0
@@ -86,6 +99,8 @@ class Encoder:
             for x, end in zip(run, [*ends, len(raw)], strict=True):
                 own[x] = cache[x] = raw[at:end]
                 at = end + 4
+        for x, word, marks in ended:
+            own[x] = cache[x] = (own.get(word) or cache[word]) + (own.get(marks) or cache[marks])
         odd = [x for x in lacking if not (len(x) < 64 and b"\x01" not in x)]
         if odd:
             own.update(zip(odd, [i.tobytes() for i in self._ids([x.decode() for x in odd])], strict=True))

@@ -54,3 +54,12 @@ def test_every_id_lies_in_one_piece(spark, parts):
 
 def test_empty(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_words_are_encoded_once_whatever_follows():
+    encoder, given = Encoder(PATH), []
+    ids = encoder._ids
+    encoder._ids = lambda texts: given.extend(texts) or ids(texts)
+    texts = ["zzqa, zzqa. zzqa?! zzqa ZZQA;", "zzqa: , zzq'a, é. 1, a.b,"]
+    assert [g == w.tobytes() for g, w in zip(encoder.encode([t.encode() for t in texts]), direct(texts))] == [True] * 2
+    assert " ".join(given).split().count("zzqa") == 1 and "zzqa" not in {x.rstrip(".,;:!?") for x in " ".join(given).split() if x != "zzqa"}
