@@ -7,6 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from gridloom.operators import pages as P
 from gridloom.plans import adapters as A
 from gridloom.plans import catalog, finders, small, tables
 
@@ -61,6 +62,22 @@ def test_tables_are_dealt_out_once(spark, name):
     assert found and not [x for x in found if "REPARTITION_BY_COL" in x or re.search(r"hashpartitioning\(\w+#\d+L?, \w+#", x)], found
 
 
+@here
+@pytest.mark.parametrize("name", ["built_cells", "realigned_rows"])
+def test_words_stay_with_their_tables(spark, name):
+    """Only line items are shuffled, neither their words nor cells."""
+    found = exchanges(spark, name)
+    assert found and not [x for x in found if not re.search(r"hashpartitioning\(tk#\d+L?, 3\)", x)], found
+
+
+def test_slots_without_a_page_or_box(spark):
+    """A slot without a page or box has no words, but comes."""
+    words = spark.createDataFrame([(1, 1, "a", 1.0, 9.0, 1.0, 9.0, 8.0), (None, 2, "b", 1.0, 9.0, 1.0, 9.0, 8.0)], "k int, word_id int, text string, x0 double, x1 double, top double, bottom double, size double")
+    slots = spark.createDataFrame([(k, 0, 0, c, b) for k, c, b in ((1, 0, (0.0, 0.0, 99.0, 99.0)), (1, 1, None), (None, 0, (0.0, 0.0, 99.0, 99.0)))], "k int, table_id int, row int, col int, bbox struct<x0:double,top:double,x1:double,bottom:double>")
+    got = P.build_cells(words, slots, ["k"]).collect()
+    assert sorted((r.k or 0, r.col, r.text) for r in got) == [(0, 0, ""), (1, 0, "a"), (1, 1, "")]
+
+
 @here
 def test_cases_of_numbers_come_from_orders(spark):
     """One text for each order, of all eleven kinds."""
