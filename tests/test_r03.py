@@ -70,6 +70,14 @@ def test_words_stay_with_their_tables(spark, name):
     assert found and not [x for x in found if not re.search(r"hashpartitioning\(tk#\d+L?, 3\)", x)], found
 
 
+@here
+@pytest.mark.parametrize("name", ["merged_segments", "ruled_slots"])
+def test_rules_are_dealt_out_by_page(spark, name):
+    """Rules and crossings meet where their page is: no join, and no shuffle by more than the page."""
+    found, plan = exchanges(spark, name), catalog.QUERIES[name](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert found and "Join" not in plan and "Scan parquet" in plan and "crossings" not in plan and not [x for x in found if not re.search(r"hashpartitioning\(\w+#\d+L?, 3\)", x)], found
+
+
 def test_slots_without_a_page_or_box(spark):
     """A slot without a page or box has no words, but comes."""
     words = spark.createDataFrame([(1, 1, "a", 1.0, 9.0, 1.0, 9.0, 8.0), (None, 2, "b", 1.0, 9.0, 1.0, 9.0, 8.0)], "k int, word_id int, text string, x0 double, x1 double, top double, bottom double, size double")
