@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from gridloom.operators import pages as P
+from gridloom.operators import spans as SP
 from gridloom.plans import adapters as A
 from gridloom.plans import catalog, finders, small, tables
 
@@ -70,6 +71,16 @@ def test_words_stay_with_their_tables(spark, name):
     assert found and not [x for x in found if not re.search(r"hashpartitioning\(tk#\d+L?, 3\)", x)], found
 
 
+def test_spans_by_boxes_shuffle_nothing(spark):
+    """Cells of pages that were dealt out are neither joined nor shuffled on their way to spans, with tables of a page apart."""
+    rows = [(k, t, r, c, "Запасы" if c == 0 and r == 0 else "", (0.0, 0.0, 99.0, 99.0) if c == 0 and r == 0 else (c * 50.0, r * 50.0, c * 50.0 + 40, r * 50.0 + 40)) for k in (1, 2) for t in (0, 1) for r in (0, 1) for c in (0, 1)]
+    df = spark.createDataFrame(rows, "k int, table_id int, row int, col int, text string, bbox struct<x0:double,top:double,x1:double,bottom:double>").repartition(3, "k")
+    got = SP.box_spans(df, ["k", "table_id"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sorted((r.k, r.table_id, r.row, r.col, r.rowspan, r.colspan, r.covered) for r in got.collect()) == [(k, t, r, c, 2 - r if c == 0 and r == 0 else 1, 2 if c == 0 and r == 0 else 1, (r, c) != (0, 0)) for k in (1, 2) for t in (0, 1) for r in (0, 1) for c in (0, 1)]
+
+
 @here
 @pytest.mark.parametrize("name", ["merged_segments", "ruled_slots"])
 def test_rules_are_dealt_out_by_page(spark, name):
