@@ -81,6 +81,13 @@ def test_spans_by_boxes_shuffle_nothing(spark):
     assert sorted((r.k, r.table_id, r.row, r.col, r.rowspan, r.colspan, r.covered) for r in got.collect()) == [(k, t, r, c, 2 - r if c == 0 and r == 0 else 1, 2 if c == 0 and r == 0 else 1, (r, c) != (0, 0)) for k in (1, 2) for t in (0, 1) for r in (0, 1) for c in (0, 1)]
 
 
+@here
+def test_regions_of_sheets_are_found_in_one_pass(spark):
+    """Rows are made once and never joined to their regions."""
+    plan = catalog.QUERIES["sheet_regions"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan parquet") == 1
+
+
 @here
 @pytest.mark.parametrize("name", ["merged_segments", "ruled_slots"])
 def test_rules_are_dealt_out_by_page(spark, name):
